@@ -15,10 +15,10 @@ DATE_FORMATS = ("d/M/yy", "dd/MM/yy", "d/M/yyyy", "dd/MM/yyyy", "M/d/yyyy", "yyy
 
 # ---- fixed values: raw sources -------------------------------------------------------------
 SOURCE_GLOBS = {
-    "loan_daily": "lms_loan_daily.csv",
-    "clickstream": "feature_clickstream.csv",
-    "attributes": "feature{,s}_attributes.csv",
-    "financials": "feature{,s}_financials.csv",
+    "loan_daily": "lms_loan_daily*",
+    "clickstream": "feature_clickstream*",
+    "attributes": "feature{,s}_attributes*",
+    "financials": "feature{,s}_financials*",
 }
 
 # ---- fixed values: silver schemas ----------------------------------------------------------

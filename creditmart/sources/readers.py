@@ -17,13 +17,8 @@ def text_schema(columns: Sequence[str]) -> StructType:
     return StructType([StructField(name, StringType()) for name in columns])
 
 
-def csv_header(spark: SparkSession, path: str, name_glob: str | None = None) -> list[str]:
-    """Column names of a raw data set, from the head of its files."""
-    return raw_reader(spark, name_glob).csv(path).columns
-
-
-def raw_reader(spark: SparkSession, name_glob: str | None = None, quoted: bool = False,
-               schema: StructType | None = None, streaming: bool = False):
+def raw_reader(spark: SparkSession, quoted: bool = False, schema: StructType | None = None,
+               streaming: bool = False):
     """CSV reader that keeps every value as text.
 
     ``quoted`` reads fields with line breaks inside quotes. Spark cannot split such files, so a
@@ -32,18 +27,17 @@ def raw_reader(spark: SparkSession, name_glob: str | None = None, quoted: bool =
     reader = (spark.readStream if streaming else spark.read).option("header", True).option("inferSchema", False)
     if schema is not None:
         reader = reader.schema(schema)
-    if name_glob:
-        reader = reader.option("pathGlobFilter", name_glob)
     if quoted:
         reader = (reader.option("mode", "PERMISSIVE").option("quote", '"').option("escape", '"')
                   .option("multiLine", True))
     return reader
 
 
-def read_raw(spark: SparkSession, folder: str, dataset: str, schema: StructType | None = None) -> DataFrame:
-    """One raw data set of a folder, under any of its known file names."""
-    quoted = dataset != "loan_daily"
-    return raw_reader(spark, K.SOURCE_GLOBS[dataset], quoted, schema).csv(folder)
+def read_raw(spark: SparkSession, folder: str, dataset: str, schema: StructType | None = None,
+             streaming: bool = False) -> DataFrame:
+    """One raw data set of a folder, in files (or folders of files) under any known name."""
+    reader = raw_reader(spark, dataset != "loan_daily", schema, streaming)
+    return reader.csv(f"{folder}/{K.SOURCE_GLOBS[dataset]}")
 
 
 def explore_csv(spark: SparkSession, path: str) -> DataFrame:

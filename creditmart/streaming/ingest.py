@@ -24,16 +24,10 @@ from creditmart.plans.jobs import (
     build_model_dataset,
     build_silver,
 )
-from creditmart.sources.readers import raw_reader
+from creditmart.sources.readers import read_raw
 from creditmart.sources.writers import write_months
 
 
-def raw_stream(spark: SparkSession, raw_dir: str, dataset: str, schema: StructType) -> DataFrame:
-    reader = raw_reader(spark, K.SOURCE_GLOBS[dataset].replace(".csv", "*.csv"),
-                        dataset != "loan_daily", schema, streaming=True)
-    return reader.csv(raw_dir)
-
-
 def ingest_dataset(spark: SparkSession, root: str, raw_dir: str, dataset: str, schema: StructType,
                    checkpoint: str, run_date: str) -> None:
     """Bring all new files of one data set into bronze and wait for the end."""
@@ -41,7 +35,7 @@ def ingest_dataset(spark: SparkSession, root: str, raw_dir: str, dataset: str, s
         rows = batch.withColumn("batch_id", F.lit(batch_id))
         write_months(rows, f"{root}/bronze/{dataset}", by=["snap_ym", "batch_id"])
 
-    source = layers.bronze(raw_stream(spark, raw_dir, dataset, schema), run_date)
+    source = layers.bronze(read_raw(spark, raw_dir, dataset, schema, streaming=True), run_date)
     query = (source.writeStream.foreachBatch(store).option("checkpointLocation", f"{checkpoint}/{dataset}")
              .trigger(availableNow=True).start())
     query.awaitTermination()
