@@ -34,10 +34,9 @@ def score_counts(df: DataFrame, groups: Sequence[str] = (), score: str = "score"
     valid = df.select(*groups, value.alias("score"), truth.alias("_truth")).where(
         F.col("score").isNotNull() & ~F.isnan("score") & F.col("_truth").isin(0.0, 1.0)
     )
-    return valid.groupBy(*groups, "score").agg(
-        F.count_if(F.col("_truth") == 1.0).alias("pos"),
-        F.count_if(F.col("_truth") == 0.0).alias("neg"),
-    )
+    counts = valid.groupBy(*groups, "score").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("_truth") == 1.0).alias("pos"))
+    return counts.withColumn("neg", F.col("rows") - F.col("pos"))
 
 
 def score_curve(df: DataFrame, groups: Sequence[str] = (), score: str = "score",
@@ -50,8 +49,11 @@ def score_curve(df: DataFrame, groups: Sequence[str] = (), score: str = "score",
         scores = df.select(F.col(score).try_cast("double").alias("score"))
         cuts = range_cuts(scores.where(~F.isnan("score")), ["score"])[0]
     counts = score_counts(df, groups, score, label)
-    return running_totals(counts, groups, "score", {"tp": "pos", "fp": "neg"}, descending=True,
-                          cuts=cuts, group_totals={"all_pos": "tp"})
+    # Totals of rows and hits, not of hits and misses: every metric then needs both columns, so
+    # that Spark computes the counts once and reads their shuffle twice.
+    curve = running_totals(counts, groups, "score", {"seen": "rows", "tp": "pos"}, descending=True,
+                           cuts=cuts, group_totals={"all_pos": "tp"})
+    return curve.withColumn("fp", F.col("seen") - F.col("tp")).drop("seen", "rows")
 
 
 def _area_under_roc() -> Column:

@@ -157,8 +157,7 @@ def exact_percentiles(df: DataFrame, columns: Sequence[str], shares: Sequence[fl
 
     Selection instead of a full sort: rows are counted per value range of each column, the
     ranges that hold the wanted ranks are found from those few counts, and only the rows of
-    these ranges are ranked. The range counts and wanted ranges are bounded by columns times
-    ranges and columns times shares.
+    these ranges are ranked.
     """
     numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
     cuts = dict(zip(columns, range_cuts(numbers, columns)))
@@ -180,19 +179,19 @@ def exact_percentiles(df: DataFrame, columns: Sequence[str], shares: Sequence[fl
         .withColumn("_place", F.explode(F.array_distinct(F.array(F.floor("_rank"), F.ceil("_rank")))))
         .where((F.col("_place") >= F.col("_before")) & (F.col("_place") < F.col("_before") + F.col("n")))
     )
-    # Only whole ranges with a wanted rank are counted per value; ties collapse map-side.
-    chosen = wanted.select("column", RANGE).distinct()
+    # Only rows of a range with a wanted rank go on; ties collapse map-side. The wanted list has
+    # at most two rows per column and share, so it cannot outgrow a broadcast.
+    seek = ["column", "share", "_place", "_before", "_rank"]
     values = (
-        ranged.join(F.broadcast(chosen), ["column", RANGE], "left_semi")
-        .groupBy("column", RANGE, "value").agg(F.count(F.lit(1)).alias("_times"))
+        ranged.join(F.broadcast(wanted.select(*seek, RANGE)), ["column", RANGE])
+        .groupBy(*seek, "value").agg(F.count(F.lit(1)).alias("_times"))
     )
-    inside = Window.partitionBy("column", RANGE).orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = values.withColumn("_upto", F.sum("_times").over(inside))
-    hit = (F.col("_place") - F.col("_before") >= F.col("_upto") - F.col("_times")) & (
-        F.col("_place") - F.col("_before") < F.col("_upto"))
-    found = ranked.join(F.broadcast(wanted), ["column", RANGE]).where(hit)
-    low = F.min_by("value", "_place")
-    high = F.max_by("value", "_place")
+    inside = Window.partitionBy("column", "share", "_place").orderBy("value").rowsBetween(
+        Window.unboundedPreceding, 0)
+    upto = F.col("_before") + F.col("_upto")
+    found = values.withColumn("_upto", F.sum("_times").over(inside)).where(
+        (F.col("_place") >= upto - F.col("_times")) & (F.col("_place") < upto))
+    low, high = F.min_by("value", "_place"), F.max_by("value", "_place")
     part = F.max(F.col("_rank") - F.floor("_rank"))
     return found.groupBy("column", "share").agg((low + (high - low) * part).alias("value"))
 
