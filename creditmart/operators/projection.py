@@ -64,14 +64,17 @@ def require_columns(df: DataFrame, names: Iterable[str], any_of: bool = False) -
 
 
 def cast_columns(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
-    """Enforce a type map in one projection; values that do not fit become null."""
-    def typed(name: str) -> Column:
-        kind = types.get(name)
-        if kind is None:
+    """Enforce a type map in one projection; values that do not fit become null.
+
+    Columns that have their type already stay untouched, so filters on them reach the scan.
+    """
+    def typed(name: str, given: str) -> Column:
+        kind = types.get(name, given)
+        if kind == given:
             return F.col(name)
-        value = to_int(name) if kind == "int" else F.col(name).try_cast(kind)
+        value = to_int(name) if kind == "int" and given == "string" else F.col(name).try_cast(kind)
         return value.alias(name)
-    return df.select(*[typed(name) for name in df.columns])
+    return df.select(*[typed(name, given) for name, given in df.dtypes])
 
 
 def trim_strings(df: DataFrame) -> DataFrame:
