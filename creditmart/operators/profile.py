@@ -236,11 +236,14 @@ def variance_rank(df: DataFrame, columns: Sequence[str], top: int = K.VARIANCE_T
 
 
 def _pair_corr(a: str, b: str) -> Column:
-    """Pearson correlation over the rows that have both values, null where one is constant."""
+    """Pearson correlation over the rows that have both values, null where one is constant.
+
+    Built from both regression slopes, which are null for a constant column; ``corr`` divides by
+    zero there.
+    """
     x, y = F.col(a).cast("double"), F.col(b).cast("double")
-    both = x.isNotNull() & y.isNotNull()
-    r = F.corr(F.when(both, x), F.when(both, y))
-    return F.when(~F.isnan(r), r)
+    up, across = F.regr_slope(y, x), F.regr_slope(x, y)
+    return F.signum(up) * F.sqrt(up * across)
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
