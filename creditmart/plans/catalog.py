@@ -28,7 +28,6 @@ from creditmart.operators import profile as R
 from creditmart.operators import projection as J
 from creditmart.operators import quality as Q
 from creditmart.operators import splits as S
-from creditmart.operators.dedupe import keep_latest
 from creditmart.plans import layers
 from creditmart.plans.star import star_input, table
 from creditmart.session import apply_settings
@@ -84,7 +83,7 @@ def financials(spark, folder):
 
 def financials_by_row(spark, folder):
     """Like ``financials`` but with the row id kept."""
-    return keep_latest(clean(spark, folder), tie_break=[F.col("row_id").desc()])
+    return layers.latest_per_month(clean(spark, folder), [F.col("row_id").desc()])
 
 
 def lines(spark, folder):

@@ -64,7 +64,8 @@ class Mart:
         return read_table(self.spark, self.path(table))
 
     def write(self, df: DataFrame, table: str) -> dict:
-        return write_months(df, self.path(table))
+        written = F.col("snap_ym").isin(*self.months) if self.months else None
+        return write_months(df, self.path(table), written=written)
 
 
 # ---- layers -----------------------------------------------------------------------------

@@ -43,6 +43,16 @@ def bronze(raw: DataFrame, run_date: str, months: Sequence[str] | None = None) -
 
 # ---- silver -----------------------------------------------------------------------------
 
+def latest_per_month(df: DataFrame, tie_break: Sequence[Column] = ()) -> DataFrame:
+    """Latest load per customer and snapshot within a month.
+
+    The month is part of the key, because rows with an unreadable date are told apart by it when
+    several months are built at once.
+    """
+    keys = [k for k in ("customer_id", "snapshot_date", "snap_ym") if k in df.columns]
+    return keep_latest(df, keys, tie_break=tie_break)
+
+
 def silver_loans(bronze_loans: DataFrame) -> DataFrame:
     """Typed loans with month on book, missed instalments, first missed date, days past due."""
     typed = cast_columns(bronze_loans, K.LOAN_TYPES)
@@ -73,7 +83,7 @@ def silver_clickstream(bronze_clickstream: DataFrame, tie_break: Sequence[Column
         **{name: C.to_double(name) for name in names},
     })
     keys = ("customer_id", "snapshot_date", *K.LINEAGE)
-    return keep_latest(rows.select(*[k for k in keys if k in rows.columns], *names), tie_break=tie_break)
+    return latest_per_month(rows.select(*[k for k in keys if k in rows.columns], *names), tie_break)
 
 
 def financial_columns(columns: Sequence[str]) -> dict[str, Column]:
@@ -106,7 +116,7 @@ def clean_financials(bronze_financials: DataFrame) -> DataFrame:
 
 
 def silver_financials(bronze_financials: DataFrame, tie_break: Sequence[Column] = ()) -> DataFrame:
-    latest = keep_latest(clean_financials(bronze_financials), tie_break=tie_break)
+    latest = latest_per_month(clean_financials(bronze_financials), tie_break)
     return select_present(latest, K.FINANCIAL_COLUMNS)
 
 

@@ -95,7 +95,7 @@ select row_id, Customer_ID as customer_id, try_cast(snapshot_date as date) as sn
 from raw_fin""")
 CTES["silver_fin"] = (("clean_fin",), """
 select * from clean_fin
-qualify row_number() over (partition by customer_id, snapshot_date order by ingest_dt desc nulls last, row_id desc) = 1""")
+qualify row_number() over (partition by customer_id, snapshot_date, snap_ym order by ingest_dt desc nulls last, row_id desc) = 1""")
 _INCOME0 = "annual_income is not null and annual_income <> 0"
 _RATIOS = f"""
        case when {_INCOME0} then outstanding_debt / annual_income end as dti,

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from creditmart import constants as K
@@ -17,17 +17,20 @@ from creditmart.operators.projection import top_rows
 
 
 def write_months(df: DataFrame, path: str, by: Sequence[str] = ("snap_ym",), form: str = "parquet",
-                 rebalance: bool = True) -> dict:
-    """Overwrite the partitions of ``df`` in a table and return a row count taken on the way."""
-    seen = Observation()
-    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    if rebalance:
-        counted = counted.hint("rebalance", *[F.col(c) for c in by])
-    writer = counted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by)
+                 rebalance: bool = True, written: Column | None = None) -> dict:
+    """Overwrite the partitions of ``df`` in a table and return a small log entry.
+
+    The rows are counted in the written table, from the file footers, so the plan of ``df`` runs
+    once. ``written`` limits the count to partitions of interest.
+    """
+    rows = df.hint("rebalance", *[F.col(c) for c in by]) if rebalance else df
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by)
     if form == "csv":
         writer = writer.option("header", True)
     writer.format(form).save(path)
-    return {"path": path, "rows": seen.get["rows"], "cols": len(df.columns)}
+    table = df.sparkSession.read.schema(df.schema).format(form).load(path)
+    stored = table if written is None else table.where(written)
+    return {"path": path, "rows": stored.count(), "cols": len(df.columns)}
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -42,7 +45,7 @@ def write_preview(df: DataFrame, path: str, order: str = "n_rows", rows: int = K
 def write_scores(df: DataFrame, path: str, batch_ts: str) -> dict:
     """One scored batch as a partition; scoring the same batch again replaces it."""
     batch = df.withColumn("batch_ts", F.lit(batch_ts).cast("timestamp"))
-    return write_months(batch, path, by=["batch_ts"])
+    return write_months(batch, path, by=["batch_ts"], written=F.col("batch_ts") == F.lit(batch_ts).cast("timestamp"))
 
 
 def write_predictions(df: DataFrame, path: str) -> dict:
