@@ -25,7 +25,8 @@ def to_double(c: ColumnLike) -> Column:
 def to_int(c: ColumnLike) -> Column:
     """Whole part of a plain decimal text, null when it is none or does not fit 32 bits."""
     text = col(c).cast("string")
-    plain = text.rlike(r"^\s*[+-]?(\d+\.?\d*|\.\d+)\s*$")
+    # A number of these characters only has no exponent and no type suffix.
+    plain = F.translate(text, "0123456789+-. ", "") == ""
     number = text.try_cast("double")
     fits = number.between(-2147483648.0, 2147483647.0)
     return F.when(plain & fits, number.cast("int"))

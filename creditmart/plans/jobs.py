@@ -22,6 +22,7 @@ from creditmart.operators.modeling import (
     fit_boosted,
     fit_logistic,
     pick_threshold,
+    prepare,
     score,
     score_months,
     search,
@@ -169,11 +170,13 @@ def train_models(df: DataFrame, out: str, dates=K.SPLIT_DATES, models: Sequence[
     features = Features.of(df.drop("snap_ym"))
     parts = time_split(df, dates)
     train, valid = (parts.where(F.col("split") == name).drop("split") for name in ("Train", "Valid"))
+    whole = train.unionByName(valid)
+    prep = prepare(whole, features, exact)
     fitted: dict[str, PipelineModel] = {}
     if "lr" in models:
-        fitted["lr"] = fit_logistic(train.unionByName(valid), features, exact=exact)
+        fitted["lr"] = fit_logistic(whole, features, prep=prep)
     if "xgb" in models:
-        fitted["xgb"] = fit_boosted(train, valid, features, max_trees, exact=exact)
+        fitted["xgb"] = fit_boosted(train, valid, features, max_trees, exact, prep=prep)
     for name, model in fitted.items():
         model.write().overwrite().save(f"{out}/models/{name}")
 
