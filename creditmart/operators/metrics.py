@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from creditmart import constants as K
 from creditmart.operators.ranges import range_cuts, running_totals
+from creditmart.operators.small import small_side
 
 
 def melt_models(df: DataFrame, models: Mapping[str, str], keep: Sequence[str]) -> DataFrame:
@@ -145,7 +146,7 @@ def metric_grid(df: DataFrame, score: str = "score", label: str = "label",
     """
     curve = score_curve(df, ["model", "split"], score, label)
     tuned = best_threshold(curve.where(F.col("split") == tune_on), ["model"]).select("model", "threshold")
-    rows = curve.join(tuned, "model", "left")
+    rows = curve.join(small_side(tuned), "model", "left")
     plans = {"": F.lit(default), "_tuned": F.col("threshold")}
     cells = [
         F.struct(*[c.alias(name) for name, c in

@@ -1,0 +1,21 @@
+"""Joins with a side that is expected to be tiny."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+SMALL_ROWS = 10_000
+
+
+def small_side(df: DataFrame, limit: int = SMALL_ROWS) -> DataFrame:
+    """``df`` as a broadcast side if it really has at most ``limit`` rows, else ``df`` itself.
+
+    For sides with one row per model, stratum or the like, whose join would otherwise shuffle
+    the large side onto a handful of keys. The rows are fetched once (never more than one past
+    the limit), so what the side was computed from is not computed again for the join.
+    """
+    rows = df.limit(limit + 1).collect()
+    if len(rows) > limit:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))

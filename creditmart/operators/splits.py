@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from creditmart import constants as K
 from creditmart.functions.dates import first_of_month, month_list, months_back
+from creditmart.operators.small import small_side
 
 
 def between_dates(column: str, start: str, end: str) -> Column:
@@ -80,35 +81,34 @@ def training_split(df: DataFrame, train_date: str, column: str = "snapshot_date"
 
 
 def stratified_split(df: DataFrame, keys: Sequence[str], ratio: float = 0.8, label: str = "label",
-                     seed: int = 88, slots: int = 4096) -> DataFrame:
+                     seed: int = 88, slots: int = 65536) -> DataFrame:
     """Adds ``part`` ('train'/'test') with the exact train share in every label stratum.
 
-    Rows are ranked by a seeded hash of their key. No stratum is sorted as a whole: rows are
-    counted per hash slot, the slot with the cut is found from those counts, and only that
-    slot's hashes are ranked to get the cut hash. Rows then compare their hash with it. The
-    split is exact when keys are unique; copies of a key always share a side.
+    Rows are ranked by a seeded hash of their key, but no stratum is sorted or shuffled as a
+    whole. Rows are counted per hash slot, the slot with the cut is found from those counts, and
+    only that slot's hashes are ranked to get the cut hash of the stratum. Rows then compare
+    their hash with it. The split is exact when keys are unique; copies of a key share a side.
     """
-    hashed = df.withColumn("_hash", F.xxhash64(F.lit(seed), *keys))
     slot = F.shiftright("_hash", 64 - slots.bit_length() + 1)
-    draws = hashed.groupBy(label, "_hash").agg(F.count(F.lit(1)).alias("_n")).withColumn("_slot", slot)
+    hashed = df.withColumn("_hash", F.xxhash64(F.lit(seed), *keys))
+    slotted = hashed.select(label, "_hash", slot.alias("_slot"))
 
-    per_slot = draws.groupBy(label, "_slot").agg(F.sum("_n").alias("_in_slot"))
+    per_slot = slotted.groupBy(label, "_slot").agg(F.count(F.lit(1)).alias("_in_slot"))
     stratum = Window.partitionBy(label)
-    placed = per_slot.select(
-        label, "_slot",
-        F.coalesce(F.sum("_in_slot").over(
-            stratum.orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
-        "_in_slot", F.floor(F.sum("_in_slot").over(stratum) * ratio + 1e-9).alias("_take"),
-    )
-    cut_slot = placed.where(
-        (F.col("_before") < F.col("_take")) & (F.col("_take") <= F.col("_before") + F.col("_in_slot")))
-    upto = Window.partitionBy(label, "_slot").orderBy("_hash").rowsBetween(Window.unboundedPreceding, -1)
-    # At most one slot per stratum is left; AQE turns the join into a broadcast by its size.
-    cut = (
-        draws.join(cut_slot, [label, "_slot"])
-        .withColumn("_rank", F.col("_before") + F.coalesce(F.sum("_n").over(upto), F.lit(0)))
-        .where(F.col("_rank") < F.col("_take"))
-        .groupBy(label).agg(F.max("_hash").alias("_cut"))
-    )
+    earlier = stratum.orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    placed = per_slot.withColumns({
+        "_before": F.coalesce(F.sum("_in_slot").over(earlier), F.lit(0)),
+        "_take": F.floor(F.sum("_in_slot").over(stratum) * ratio + 1e-9),
+    })
+    has_cut = (F.col("_before") < F.col("_take")) & (F.col("_take") <= F.col("_before") + F.col("_in_slot"))
+    cut_slot = small_side(placed.where(has_cut).select(label, "_slot", "_before", "_take"))
+
+    # Slots before the cut slot are train throughout; in it, hashes count up to the share.
+    draws = slotted.join(cut_slot, [label, "_slot"]).groupBy(label, "_before", "_take", "_hash").agg(
+        F.count(F.lit(1)).alias("_n"))
+    upto = Window.partitionBy(label).orderBy("_hash").rowsBetween(Window.unboundedPreceding, -1)
+    rank = F.col("_before") + F.coalesce(F.sum("_n").over(upto), F.lit(0))
+    cut = small_side(draws.withColumn("_rank", rank).where(F.col("_rank") < F.col("_take"))
+                     .groupBy(label).agg(F.max("_hash").alias("_cut")))
     part = F.when(F.col("_hash") <= F.col("_cut"), "train").otherwise("test")
     return hashed.join(cut, label, "left").withColumn("part", part).drop("_hash", "_cut")

@@ -113,3 +113,11 @@ def test_month_join_fans_out_and_keeps_the_base(spark):
     out = Y.month_key_join(base, [feats])
     assert sorted(r["x"] for r in out.collect()) == [1, 2]
     assert out.columns == ["customer_id", "snapshot_date", "loan_id", "snap_ym", "x"]
+
+
+def test_small_side_is_checked(spark):
+    from creditmart.operators.small import small_side
+    big, few = spark.range(100), spark.range(3)
+    assert "broadcast" in big.join(small_side(few, 10), "id")._jdf.queryExecution().logical().toString().lower()
+    side = small_side(big, 10)
+    assert side is big and small_side(few, 10).count() == 3
