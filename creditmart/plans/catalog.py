@@ -7,7 +7,6 @@ whatever the order of summation was.
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 from functools import wraps
 
@@ -30,7 +29,7 @@ from creditmart.operators import quality as Q
 from creditmart.operators import splits as S
 from creditmart.plans import layers
 from creditmart.plans.star import star_input, table
-from creditmart.session import apply_settings
+from creditmart.session import apply_settings, checkpoint_dir
 from creditmart.sources.readers import months_in
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -820,8 +819,7 @@ def ingest_available_now(spark, folder):
     from creditmart.sources.readers import text_schema
     from creditmart.streaming.ingest import ingest_available
 
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
-    root = f"{base.rstrip('/')}/creditmart-ingest-{spark.sql('select uuid()').first()[0]}"
+    root = f"{checkpoint_dir(spark).rstrip('/')}/creditmart-ingest-{spark.sql('select uuid()').first()[0]}"
     schemas = {}
     for name, target in (("loan_daily", "lms_loan_daily"), ("attributes", "feature_attributes"),
                          ("financials", "features_financials"), ("clickstream", "feature_clickstream")):

@@ -51,14 +51,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     The cluster names it in ``spark.checkpoint.dir``. Only a local session without that
     setting (tests, benches) gets a folder of its own.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    current = spark.sparkContext._jsc.sc().getCheckpointDir()
-    if current.isDefined():
-        return current.get()
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
-    folder = tempfile.mkdtemp(prefix="creditmart-checkpoint-")
-    spark.sparkContext.setCheckpointDir(folder)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
+        folder = tempfile.mkdtemp(prefix="creditmart-checkpoint-")
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(folder)
     return folder
