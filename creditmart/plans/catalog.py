@@ -82,7 +82,7 @@ def financials(spark, folder):
 
 def financials_by_row(spark, folder):
     """Like ``financials`` but with the row id kept."""
-    return layers.latest_per_month(clean(spark, folder), [F.col("row_id").desc()])
+    return layers.latest_financials(star_input(spark, folder, "financials"), [F.col("row_id").desc()])
 
 
 def lines(spark, folder):

@@ -106,18 +106,34 @@ def financial_columns(columns: Sequence[str]) -> dict[str, Column]:
     return cleaned
 
 
-def clean_financials(bronze_financials: DataFrame) -> DataFrame:
-    """Every cleaning rule in one projection, before duplicates are cut."""
+def _named_financials(bronze_financials: DataFrame) -> DataFrame:
+    """Canonical headers and typed, trimmed keys; all other values still raw."""
     rows = rename_absent(snake_case(bronze_financials), K.HEADER_TYPOS)
     typed = {"ingest_dt": "timestamp", "snapshot_date": "date"}
-    rows = rows.withColumns({c: F.col(c).try_cast(kind) for c, kind in typed.items() if c in rows.columns})
-    rows = trim_strings(rows)
+    keys = {c: F.col(c).try_cast(kind) for c, kind in typed.items() if c in rows.columns}
+    return rows.withColumns({**keys, "customer_id": F.trim("customer_id")})
+
+
+def _cleaned(named: DataFrame) -> DataFrame:
+    rows = trim_strings(named)
     return rows.withColumns(financial_columns(rows.columns))
 
 
+def clean_financials(bronze_financials: DataFrame) -> DataFrame:
+    """Every cleaning rule in one projection, duplicates still in."""
+    return _cleaned(_named_financials(bronze_financials))
+
+
+def latest_financials(bronze_financials: DataFrame, tie_break: Sequence[Column] = ()) -> DataFrame:
+    """Cleaned financials without duplicates, all columns kept.
+
+    Duplicates go first, on the keys alone, so that only surviving rows are cleaned.
+    """
+    return _cleaned(latest_per_month(_named_financials(bronze_financials), tie_break))
+
+
 def silver_financials(bronze_financials: DataFrame, tie_break: Sequence[Column] = ()) -> DataFrame:
-    latest = latest_per_month(clean_financials(bronze_financials), tie_break)
-    return select_present(latest, K.FINANCIAL_COLUMNS)
+    return select_present(latest_financials(bronze_financials, tie_break), K.FINANCIAL_COLUMNS)
 
 
 # ---- gold -------------------------------------------------------------------------------
