@@ -59,11 +59,9 @@ def score_curve(df: DataFrame, groups: Sequence[str] = (), score: str = "score",
 
 def _area_under_roc() -> Column:
     """Share of (positive, negative) pairs in the right order, ties counting half."""
-    pos, neg = F.sum("pos"), F.sum("neg")
-    wrong = (2 * F.col("fp") - F.col("neg")).cast("decimal(19,0)")
-    twice_wrong = F.sum(F.col("pos").cast("decimal(19,0)") * wrong)
-    pairs = 2 * pos.cast("decimal(19,0)") * neg.cast("decimal(19,0)")
-    return F.lit(1.0) - F.try_divide(twice_wrong.cast("double"), pairs.cast("double"))
+    wrong = F.col("fp") - F.col("neg") / 2  # doubles: the products outgrow 64-bit integers
+    pairs = F.sum("pos").cast("double") * F.sum("neg").cast("double")
+    return 1 - F.try_divide(F.sum(F.col("pos") * wrong), pairs)
 
 
 def _average_precision() -> Column:

@@ -34,8 +34,8 @@ def range_cuts(df: DataFrame, columns: Sequence[str], ranges: int | None = None)
     ranges = ranges or range_count(df)
     shares = [step / ranges for step in range(1, ranges)]
     part = df.select(*columns).sample(CUT_SHARE, seed=7)
-    sketched = part.approxQuantile(list(columns), shares, 1.0 / (2 * ranges))
-    return [sorted({cut for cut in cuts if math.isfinite(cut)}) for cuts in sketched]
+    row = part.agg(*[F.percentile_approx(F.col(c).cast("double"), shares, 4 * ranges).alias(c) for c in columns]).first()
+    return [sorted({cut for cut in row[c] or [] if math.isfinite(cut)}) for c in columns]
 
 
 def with_ranges(df: DataFrame, cuts: Mapping[str, Sequence[float]], suffix: str | None = None) -> DataFrame:

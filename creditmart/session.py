@@ -19,9 +19,6 @@ SQL_SETTINGS = {
     # Chained joins on one key have no exchange between them; splitting a hot key is
     # worth the extra exchange it then needs.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # The JVM never compiles methods above this size. Stages with many cleaning or feature
-    # expressions go past it when fused; unfused, their code is split and compiled.
-    "spark.sql.codegen.hugeMethodLimit": "8000",
     # A sort-merge join streams both sides, so a hot key never has to fit a hash table.
     "spark.sql.join.preferSortMergeJoin": "true",
 }
