@@ -3,9 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry
+from creditmart.plans.catalog import QUERIES as CATALOG
+from creditmart.plans.oracles import ORACLES as SQL
 from compare import connect, difference
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = CATALOG, SQL
 
 
 @pytest.fixture(scope="module")
@@ -13,6 +15,11 @@ def con(small):
     return connect(small)
 
 
+def test_entry_registers_them():
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
 def test_every_counterpart_has_a_query():
     assert set(ORACLES) <= set(QUERIES)
     assert set(QUERIES) - set(ORACLES) == {
