@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditmart.llm import pieces
+from creditmart.llm import pieces, simhash
 from creditmart.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,12 @@ def tokenizer_path(name: str = PIECE_MODEL) -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash.near_duplicates(read(spark, folder, "documents"))
+    return found.select("doc_id", simhash.hex16().alias("fingerprint"), "component_id")
+
+
 @query
 def op4_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     coded = pieces.encode_documents(read(spark, folder, "documents"), pieces.load(tokenizer_path()), decoded="decoded")
