@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,3 +45,16 @@ def free_name(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+def ship(spark: SparkSession, thing) -> Callable:
+    """Broadcast a model of bounded size; the result, called in a task, gives it back.
+
+    It travels as bytes that need no module of this package where they are read.
+    """
+    import pickle
+
+    from pyspark import cloudpickle
+
+    data = spark.sparkContext.broadcast(cloudpickle.dumps(thing))
+    return lambda: pickle.loads(data.value)

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from creditmart.llm.common import free_name, prepare, utf8
+from creditmart.llm.common import free_name, prepare, ship, utf8
 
 BLANK = "▁"  # how a vocabulary writes a blank
 KEPT_WORDS = 600_000  # entries of the word table of a worker; it is emptied when full
@@ -244,12 +244,13 @@ def encode_documents(
     is replaced. An empty table gives an empty table.
     """
     spark = prepare(docs.sparkSession)
-    shared = spark.sparkContext.broadcast(vocabulary)  # its size is that of the vocabulary
+    shared = ship(spark, vocabulary)  # its size is that of the vocabulary
     both = decoded is not None
 
     @F.pandas_udf("ids binary, decoded string" if both else "ids binary")
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        encoder, decoder = Encoder(shared.value), Decoder(shared.value)
+        vocabulary = shared()
+        encoder, decoder = Encoder(vocabulary), Decoder(vocabulary)
         for batch in batches:
             coded = [encoder.encode(t.decode("utf-8", "replace") if t else "") for t in batch]
             yield pd.DataFrame({"ids": coded, "decoded": [decoder.decode(c) for c in coded]} if both else {"ids": coded})

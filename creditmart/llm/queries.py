@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditmart.llm import pieces, simhash
-from creditmart.llm.common import read
+from creditmart.llm import pieces, simhash, toxicity
+from creditmart.llm.common import held_out, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -25,6 +25,16 @@ def tokenizer_path(name: str = PIECE_MODEL) -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents")
+    model = toxicity.train(docs, read(spark, folder, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id", held_out().alias("held_out"), "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"), "n_sentences",
+        F.size("offending").alias("n_offending"))
+
+
 @query
 def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(read(spark, folder, "documents"))
