@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditmart.llm import pieces, simhash, toxicity
+from creditmart.llm import decontaminate, pieces, simhash, toxicity
 from creditmart.llm.common import held_out, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,3 +47,12 @@ def op4_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return coded.select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+@query
+def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.find(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+    hit = F.aggregate("hits", F.lit(0).cast("long"), lambda total, x: total + x["e"] - x["s"])
+    return found.select(
+        "doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.size("hits") > 0).alias("contaminated"))
