@@ -1,3 +1,21 @@
 """DuckDB SQL for the queries of this package that SQL can express."""
 
 ORACLES: dict[str, str] = {}
+
+ORACLES["op10_line_dedup"] = """
+with lines as (
+  select doc_id, text, source, unnest(string_split(text, chr(10))) as line,
+         generate_subscripts(string_split(text, chr(10)), 1) as pos
+  from documents where text is not null),
+spread as (
+  select line, min((doc_id, pos)) as first_place from lines where trim(line) <> ''
+  group by line having count(distinct source) >= 10),
+marked as (
+  select l.doc_id, l.pos, l.line, s.line is not null and (l.doc_id, l.pos) <> s.first_place as gone
+  from lines l left join spread s on l.line = s.line)
+select doc_id, count(*)::int as n_lines, sum(gone::int)::int as n_removed,
+       sha256(coalesce(string_agg(line, chr(10) order by pos) filter (where not gone), '')) as text_sha256
+from marked group by doc_id
+union all
+select doc_id, 0, 0, null from documents where text is null
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditmart.llm import decontaminate, pieces, simhash, toxicity
+from creditmart.llm import decontaminate, line_dedup, pieces, simhash, toxicity
 from creditmart.llm.common import held_out, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,3 +56,9 @@ def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(
         "doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.size("hits") > 0).alias("contaminated"))
+
+
+@query
+def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    cleaned = line_dedup.remove(read(spark, folder, "documents"), n_lines="n_lines", n_removed="n_removed")
+    return cleaned.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("text_sha256"))

@@ -1,0 +1,59 @@
+from collections import defaultdict
+
+import pytest
+from helpers import documents
+
+from compare import connect, difference
+from creditmart.llm import line_dedup, oracles, queries
+
+
+def slow(rows, min_sites):
+    """rows: (doc_id, text, site); repeated (doc_id, text) count as one document."""
+    sites, first = defaultdict(set), {}
+    for d, text, site in rows:
+        for at, line in enumerate((text or "").split("\n")):
+            if line.strip(" "):
+                if site is not None:
+                    sites[line].add(site)
+                place = ((d is not None, d or 0), at)
+                first[line] = min(first.get(line, place), place)
+    out = []
+    for d, text, _ in rows:
+        kept = [
+            line for at, line in enumerate((text or "").split("\n"))
+            if len(sites.get(line, ())) < min_sites or first[line] == ((d is not None, d or 0), at)]
+        out.append((d, None if text is None else "\n".join(kept)))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("min_sites,lg_k", [(2, 11), (3, 4), (10, 11)])
+def test_against_brute_force(spark, small, min_sites, lg_k):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    rows = [(r.doc_id, r.text, r.source) for r in docs.collect()]
+    got = line_dedup.remove(docs, min_sites, lg_k=lg_k).select("doc_id", "text").collect()
+    assert sorted((tuple(r) for r in got), key=str) == slow(rows, min_sites)
+
+
+def test_many_sites_near_the_threshold(spark):
+    """Coarse sketches err; lines near the threshold are counted exactly."""
+    rows = [(i * 1000 + n, f"line {n}\nown {i} {n}", f"site{i}") for n in range(80, 121) for i in range(n)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = line_dedup.remove(docs, 100, lg_k=6).select("doc_id", "text").collect()
+    assert sorted((tuple(r) for r in got), key=str) == slow(rows, 100)
+
+
+def test_edges(spark):
+    rows = [(1, "a\n\nb", "s1"), (2, "a\na", "s2"), (2, "a\na", "s2"), (None, "a\nz", "s3"), (4, None, None), (5, "", "s1"),
+            (6, "b\n" + "q " * 300_000, None), (7, "é\nb", "s9"), (8, "b\n ", "s2")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    docs = docs.selectExpr("*", "1 as at", "2 as h", "3 as _dedup", "4 as first")
+    out = line_dedup.remove(docs, 3)
+    assert out.columns == docs.columns
+    assert sorted((tuple(r) for r in out.select("doc_id", "text").collect()), key=str) == slow(rows, 3)
+    assert line_dedup.remove(docs.limit(0)).count() == 0
+
+
+def test_query_equals_sql(spark, small):
+    folder = small.replace("0.001", "0.01")
+    name = "op10_line_dedup"
+    assert difference(queries.QUERIES[name](spark, folder), connect(folder), oracles.ORACLES[name]) is None
