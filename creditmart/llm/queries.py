@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditmart.llm import decontaminate, line_dedup, pieces, simhash, toxicity
+from creditmart.llm import decontaminate, language, line_dedup, pieces, simhash, toxicity
 from creditmart.llm.common import held_out, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,6 +49,13 @@ def op4_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+@query
+def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents")
+    return language.predict(docs, language.train(docs)).select(
+        "doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate.find(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
