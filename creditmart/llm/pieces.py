@@ -64,6 +64,13 @@ def merged(symbols: list[str], scores: dict[str, float]) -> list[str]:
     return symbols
 
 
+def default_model() -> str:
+    """Where the public vocabulary lies that queries use; ``load`` takes any other path."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def load(path: str) -> Vocabulary:
     """Read the model file on the driver; the library is used as a reader of the format only."""
     import sentencepiece

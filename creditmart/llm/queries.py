@@ -7,11 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from creditmart.llm import decontaminate, language, line_dedup, pieces, simhash, toxicity
 from creditmart.llm.common import held_out, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-PIECE_MODEL = "piece_bpe_32k.model"
 
 
 def query(function):
@@ -19,12 +19,6 @@ def query(function):
     return function
 
 
-def tokenizer_path(name: str = PIECE_MODEL) -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
-
-
 @query
 def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents")
@@ -43,7 +37,7 @@ def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op4_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
-    coded = pieces.encode_documents(read(spark, folder, "documents"), pieces.load(tokenizer_path()), decoded="decoded")
+    coded = pieces.encode_documents(read(spark, folder, "documents"), pieces.load(pieces.default_model()), decoded="decoded")
     return coded.select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
@@ -69,3 +63,8 @@ def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     cleaned = line_dedup.remove(read(spark, folder, "documents"), n_lines="n_lines", n_removed="n_removed")
     return cleaned.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("text_sha256"))
+
+
+@query
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    return corpus_pipeline.run(spark, folder)

@@ -206,10 +206,13 @@ def score_text(text: bytes | None, model: Model, known: Known, locate: float = T
     return float(-np.expm1(-total)), n, offending
 
 
-def score(docs: DataFrame, model: Model, text: str = "text", locate: float = THRESHOLD) -> DataFrame:
+def score(
+    docs: DataFrame, model: Model, text: str = "text", locate: float = THRESHOLD,
+    names: tuple[str, str, str] = ("score", "n_sentences", "offending"),
+) -> DataFrame:
     """Add score (0 to 1), n_sentences and offending sentences to every document.
 
-    ``offending`` lists start and end (bytes of the UTF-8 text) and probability of the sentences at
+    The results' ``names`` can be chosen. ``offending`` lists start and end (bytes of the UTF-8 text) and probability of the sentences at
     or over ``locate``. Null, empty and blank texts have no sentences and the leak as score. Repeated
     rows score alike; all other columns stay, save that columns named like results are replaced.
     """
@@ -228,6 +231,12 @@ def score(docs: DataFrame, model: Model, text: str = "text", locate: float = THR
 
     work = free_name(docs, "_judged")
     out = docs.withColumn(work, judge(utf8(text)))
-    for name in ("score", "n_sentences", "offending"):
-        out = out.withColumn(name, F.col(f"{work}.{name}"))
+    for name, field in zip(names, ("score", "n_sentences", "offending")):
+        out = out.withColumn(name, F.col(f"{work}.{field}"))
     return out.drop(work)
+
+
+def keep_clean(docs: DataFrame, model: Model, threshold: float = THRESHOLD, text: str = "text") -> DataFrame:
+    """The documents that score below ``threshold``; columns as they are."""
+    names = tuple(free_name(docs, n) for n in ("_score", "_sentences", "_offending"))
+    return score(docs, model, text, threshold, names).where(F.col(names[0]) < threshold).drop(*names)
