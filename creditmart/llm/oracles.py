@@ -19,3 +19,23 @@ from marked group by doc_id
 union all
 select doc_id, 0, 0, null from documents where text is null
 """
+
+ORACLES["op8_embedding_dedup"] = """
+with recursive good as (
+  select row_number() over () as r, vec_id, label, [x::double for x in embedding] as v
+  from embeddings
+  where embedding is not null and label is not null
+    and list_bool_and([x is not null and isfinite(x) for x in embedding])
+    and list_bool_or([x <> 0 for x in embedding])),
+links as (
+  select a.vec_id as a, b.vec_id as b from good a join good b on a.label = b.label and a.r <> b.r and len(a.v) = len(b.v)
+  where list_cosine_similarity(a.v, b.v) >= 0.93),
+reached(vec_id, other) as (
+  select distinct vec_id, vec_id from embeddings
+  union
+  select r.vec_id, l.b from reached r join links l on r.other = l.a),
+least as (select vec_id, min(other) as component_id from reached group by vec_id),
+counts as (select a, count(*) as n from links group by a)
+select e.vec_id, coalesce(c.n, 0)::bigint as n_links, l.component_id, e.vec_id = l.component_id as kept
+from embeddings e join least l using (vec_id) left join counts c on c.a = e.vec_id
+"""

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from creditmart.llm import decontaminate, language, line_dedup, pieces, simhash, toxicity
+from creditmart.llm import decontaminate, language, licenses, line_dedup, pieces, simhash, toxicity, vectors
 from creditmart.llm.common import held_out, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,6 +59,26 @@ def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.size("hits") > 0).alias("contaminated"))
 
 
+@query
+def op7_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = licenses.scan(read(spark, folder, "documents"))
+    words = F.transform("base", lambda b: b["word"])
+    base, more = F.transform("base", lambda b: b["label"]), F.transform("detections", lambda d: d["label"])
+
+    def joined(labels):
+        return F.array_join(F.array_sort(F.array_distinct(labels)), ",")
+
+    return found.select(
+        "doc_id", "n_words", F.size("base").cast("long").alias("n_base"), F.array_min(words).alias("first_word"),
+        F.array_max(words).alias("last_word"), joined(base).alias("base_labels"),
+        joined(F.concat(base, more)).alias("labels"), "score")
+
+
+@query
+def op8_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return vectors.near_duplicates(read(spark, folder, "embeddings"))
+
+
 @query
 def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     cleaned = line_dedup.remove(read(spark, folder, "documents"), n_lines="n_lines", n_removed="n_removed")

@@ -1,0 +1,60 @@
+import numpy as np
+import pytest
+from helpers import Sets
+
+from compare import connect, difference
+from creditmart.llm import oracles, queries, vectors
+
+
+def slow(rows, cosine):
+    """rows: (vec_id, vector, label)."""
+    sets, links = Sets(), [0] * len(rows)
+    good = [v is not None and x is not None and None not in v and np.isfinite(v).all() and np.any(v) for _, v, x in rows]
+    for i, (_, v, x) in enumerate(rows):
+        sets.root(i)
+        for j in range(i):
+            if good[i] and good[j] and x == rows[j][2] and len(v) == len(rows[j][1]):
+                a, b = np.asarray(v, float), np.asarray(rows[j][1], float)
+                if a @ b / np.sqrt((a @ a) * (b @ b)) >= cosine:
+                    links[i] += 1
+                    links[j] += 1
+                    sets.join(i, j)
+    least = {}
+    for i, (d, _, _) in enumerate(rows):
+        if d is not None:
+            least[sets.root(i)] = min(least.get(sets.root(i), d), d)
+    return sorted(((d, links[i], least.get(sets.root(i)), d == least.get(sets.root(i))) for i, (d, _, _) in enumerate(rows)), key=str)
+
+
+def run(spark, rows, **more):
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    out = vectors.near_duplicates(frame, **more)
+    assert out.columns == ["vec_id", "n_links", "component_id", "kept"]
+    return sorted((tuple(r) for r in out.collect()), key=str)
+
+
+@pytest.mark.parametrize("tile,block,cosine", [(4096, 16, 0.93), (7, 3, 0.93), (20, 5, 0.8)])
+def test_against_all_pairs(spark, tile, block, cosine):
+    draw = np.random.default_rng(4)
+    centres = draw.normal(size=(12, 10))
+    spread = draw.choice([0.05, 0.15, 0.25, 0.4], 260)
+    points = centres[draw.integers(0, 12, 260)] + spread[:, None] * draw.normal(size=(260, 10))
+    rows = [(i, [float(np.float32(x)) for x in p], int(i % 2)) for i, p in enumerate(points)]
+    rows += [(1000 + i, rows[3][1], 1) for i in range(40)]
+    assert run(spark, rows, tile=tile, block=block, cosine=cosine) == slow(rows, cosine)
+
+
+def test_edges(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(1, [1.0, 0.0], 1), (2, [2.0, 0.0], 1), (3, [1.0, 0.0], 2), (4, None, 1), (5, [0.0, 0.0], 1), (6, [nan, 1.0], 1),
+            (7, [None, 1.0], 1), (8, [inf, 1.0], 1), (9, [1.0, 0.0], None), (10, [1.0, 0.0], 1), (10, [1.0, 0.0], 1),
+            (None, [1.0, 0.0], 1), (12, [1.0, 0.0, 0.0], 1), (13, [], 1), (14, [0.0, -1.0], 1), (None, [0.5, 0.5], 3)]
+    assert run(spark, rows) == slow(rows, 0.93)
+    assert run(spark, rows[:0] or [(1, None, None)]) == [(1, 0, 1, True)]
+    empty = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
+    assert vectors.near_duplicates(empty).count() == 0
+
+
+def test_query_equals_sql(spark, small):
+    name = "op8_embedding_dedup"
+    assert difference(queries.QUERIES[name](spark, small), connect(small), oracles.ORACLES[name]) is None
