@@ -39,3 +39,37 @@ counts as (select a, count(*) as n from links group by a)
 select e.vec_id, coalesce(c.n, 0)::bigint as n_links, l.component_id, e.vec_id = l.component_id as kept
 from embeddings e join least l using (vec_id) left join counts c on c.a = e.vec_id
 """
+
+ORACLES["op3_url_filter"] = r"""
+with parsed as (
+  select page_id, url,
+    regexp_replace(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1)), '\.+$', '') as host,
+    regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*)', 1) as path,
+    date '2023-01-01' + (('0x' || substr(md5(concat_ws('#', url, page_id::varchar)), 1, 6))::int % 730) as fetched_on
+  from pages),
+patterns as (
+  select host as pattern from parsed where host <> ''
+  union select array_to_string(string_split(host, '.')[-2:], '.') from parsed where host <> ''
+  union select host || '/' || string_split(path, '/')[2] from parsed where host <> '' and path <> ''),
+coded as (
+  select pattern, ('0x' || substr(md5(pattern || ':' || turn::varchar), 1, 6))::int as code
+  from patterns, generate_series(0, 5) as t(turn)),
+entries as (
+  select ['adult', 'malware', 'spam'][code // 4 % 3 + 1] as list, pattern,
+    max((code // 16 % 2 = 0)::int) as is_on, date '2023-01-01' + (code // 32 % 730) as day
+  from coded where code % 4 = 0 group by all),
+captures as (select distinct url, host, path, fetched_on from parsed),
+active as (
+  select c.url, c.fetched_on, e.list, e.pattern, arg_max(e.is_on, e.day) as is_on
+  from captures c join entries e
+    on e.day <= c.fetched_on and c.host <> '' and (
+      e.pattern = c.host or ends_with(c.host, '.' || e.pattern)
+      or starts_with(c.host || c.path || '/', e.pattern || '/') and contains(e.pattern, '/'))
+  group by all),
+verdict as (
+  select url, fetched_on, array_to_string(list_sort(list_distinct(list(list))), ',') as lists,
+    max((length(pattern), pattern)) as best
+  from active where is_on = 1 group by url, fetched_on)
+select p.page_id, p.fetched_on::date as fetched_on, v.url is not null as blocked, coalesce(v.lists, '') as lists, v.best[2] as rule
+from parsed p left join verdict v on p.url = v.url and p.fetched_on = v.fetched_on
+"""

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from creditmart.llm import decontaminate, language, licenses, line_dedup, pieces, simhash, toxicity, vectors
+from creditmart.llm import decontaminate, language, licenses, line_dedup, pieces, simhash, toxicity, url_filter, vectors
 from creditmart.llm.common import held_out, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +35,34 @@ def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", simhash.hex16().alias("fingerprint"), "component_id")
 
 
+def dated_captures(pages: DataFrame) -> DataFrame:
+    """The pages have no fetch day: a hash of the URL and the id spreads them over two years."""
+    number = F.conv(F.substring(F.md5(F.concat_ws("#", "url", F.col("page_id").cast("string"))), 1, 6), 16, 10).cast("int")
+    return pages.select("page_id", "url", F.date_add(F.lit("2023-01-01").cast("date"), F.pmod(number, F.lit(730))).alias("fetched_on"))
+
+
+def dated_entries(pages: DataFrame) -> DataFrame:
+    """The lists' entries: adds and removals of the pages' hosts, their domains and first path segments, dated by a hash."""
+    hosts = url_filter.host("url")
+    patterns = F.array(
+        hosts, F.substring_index(hosts, ".", -2), F.concat(hosts, F.lit("/"), F.split(F.regexp_extract("url", url_filter.PATH, 1), "/")[1]))
+    found = pages.where(hosts != "").select(F.explode(patterns).alias("pattern")).where("pattern is not null").distinct()
+    code = F.conv(F.substring(F.md5(F.concat(F.col("pattern"), F.lit(":"), F.col("turn").cast("string"))), 1, 6), 16, 10).cast("int")
+    lists = F.array(F.lit("adult"), F.lit("malware"), F.lit("spam"))
+    turns = found.select("pattern", F.explode(F.sequence(F.lit(0), F.lit(5))).alias("turn")).withColumn("code", code)
+    return turns.where("code % 4 = 0").select(
+        F.element_at(lists, (F.floor(F.col("code") / 4) % 3 + 1).cast("int")).alias("list"), "pattern",
+        F.when(F.floor(F.col("code") / 16) % 2 == 0, "add").otherwise("remove").alias("action"),
+        F.date_add(F.lit("2023-01-01").cast("date"), (F.floor(F.col("code") / 32) % 730).cast("int")).alias("day"))
+
+
+@query
+def op3_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    pages = read(spark, folder, "pages")
+    judged = url_filter.judge(dated_captures(pages), dated_entries(pages))
+    return judged.select("page_id", "fetched_on", "blocked", F.array_join("lists", ",").alias("lists"), "rule")
+
+
 @query
 def op4_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     coded = pieces.encode_documents(read(spark, folder, "documents"), pieces.load(pieces.default_model()), decoded="decoded")

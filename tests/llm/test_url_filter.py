@@ -1,0 +1,49 @@
+import datetime as dt
+
+from compare import connect, difference
+from creditmart.llm import oracles, queries, url_filter
+
+D = lambda month, day=1: dt.date(2024, month, day)
+
+
+def run(spark, captures, entries):
+    rows = spark.createDataFrame(captures, "page_id long, url string, fetched_on date, pattern string, day int")
+    lists = spark.createDataFrame(entries, "list string, pattern string, action string, day date")
+    out = url_filter.judge(rows, lists)
+    return sorted(((r.page_id, r.blocked, ",".join(r.lists), r.rule) for r in out.collect()), key=str), out
+
+
+ENTRIES = [
+    ("spam", "b.org", "add", D(2)), ("spam", "b.org", "remove", D(4)), ("spam", "b.org", "add", D(6)), ("spam", "b.org", "add", D(7)),
+    ("adult", "a.b.org/x/y", "add", D(3)), ("adult", "c.net", "remove", D(3)), ("malware", "c.net", "add", D(5)),
+    ("malware", "c.net", "remove", D(5)), (None, "c.net", "add", D(1)), ("x", None, "add", D(1)), ("x", "c.net", "maybe", D(1)),
+    ("x", "c.net", "add", None)]
+
+
+def test_entries_at_fetch_time(spark):
+    cases = [
+        ("http://a.b.org/", D(1), False, "", None), ("http://A.B.org:80/q?x=/x/y", D(2), True, "spam", "b.org"),
+        ("http://b.org", D(3, 31), True, "spam", "b.org"), ("http://b.org", D(4), False, "", None),
+        ("https://u:p@a.b.org/x/y/z", D(5), True, "adult", "a.b.org/x/y"), ("https://a.b.org/x/yy", D(5), False, "", None),
+        ("https://a.b.org/x/y#f", D(6), True, "adult,spam", "a.b.org/x/y"), ("https://xb.org/", D(8), False, "", None),
+        ("ftp://deep.er.c.net./", D(5), True, "malware", "c.net"), ("no url", D(5), False, "", None), (None, D(5), False, "", None),
+        ("http://b.org", None, False, "", None), ("http://" + "s." * 2000 + "b.org/" + "p/" * 20_000, D(9), True, "spam", "b.org")]
+    captures = [(i, u, d, "clash", 1) for i, (u, d, *_) in enumerate(cases)] + [(None, "http://b.org", D(9), None, None)] * 2
+    got, out = run(spark, captures, ENTRIES)
+    assert got == sorted([(i, *c[2:]) for i, c in enumerate(cases)] + [(None, True, "spam", "b.org")] * 2, key=str)
+    assert out.columns == ["page_id", "url", "fetched_on", "pattern", "day", "blocked", "lists", "rule"]
+    assert run(spark, captures[:2], [])[0] == [(0, False, "", None), (1, False, "", None)]
+    assert run(spark, [], ENTRIES)[0] == []
+
+
+def test_intervals(spark):
+    lists = spark.createDataFrame(ENTRIES, "list string, pattern string, action string, day date")
+    assert sorted((tuple(r) for r in url_filter.intervals(lists).collect()), key=str) == sorted([
+        ("spam", "b.org", D(2), D(4)), ("spam", "b.org", D(6), None), ("adult", "a.b.org/x/y", D(3), None), ("malware", "c.net", D(5), None)], key=str)
+
+
+def test_query_equals_sql(spark, small):
+    name = "op3_url_filter"
+    for folder in (small, small.replace("0.001", "0.01")):
+        assert difference(queries.QUERIES[name](spark, folder), connect(folder), oracles.ORACLES[name]) is None
+    assert queries.QUERIES[name](spark, folder).where("blocked").count() > 10
