@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from creditmart.llm import decontaminate, language, licenses, line_dedup, pieces, simhash, toxicity, url_filter, vectors
+from creditmart.llm import decontaminate, language, licenses, line_dedup, packing, pieces, simhash, toxicity, url_filter, vectors
 from creditmart.llm.common import held_out, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,6 +107,14 @@ def op8_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return vectors.near_duplicates(read(spark, folder, "embeddings"))
 
 
+@query
+def op9_token_packing(spark: SparkSession, folder: str) -> DataFrame:
+    packed = packing.pack(read(spark, folder, "documents"))
+    return packed.select(
+        "shard", "run", "row", F.element_at("cu_seqlens", -1).alias("n_tokens"), F.size("doc_ids").alias("n_segments"),
+        F.sha2("ids", 256).alias("ids_sha256"), "cu_seqlens", "doc_ids", "segments")
+
+
 @query
 def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     cleaned = line_dedup.remove(read(spark, folder, "documents"), n_lines="n_lines", n_removed="n_removed")
