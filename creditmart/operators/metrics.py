@@ -14,8 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from creditmart import constants as K
-from creditmart.operators.ranges import range_cuts, running_totals
-from creditmart.operators.small import small_side
+from creditmart.operators.lookup import looked_up
+from creditmart.operators.ranges import Cuts, running_totals
 
 
 def melt_models(df: DataFrame, models: Mapping[str, str], keep: Sequence[str]) -> DataFrame:
@@ -41,14 +41,13 @@ def score_counts(df: DataFrame, groups: Sequence[str] = (), score: str = "score"
 
 
 def score_curve(df: DataFrame, groups: Sequence[str] = (), score: str = "score",
-                label: str = "label", cuts: Sequence[float] | None = None) -> DataFrame:
+                label: str = "label", cuts: Cuts | None = None) -> DataFrame:
     """Per distinct score the hits ``tp`` and false alarms ``fp`` when cutting right there.
 
-    ``all_pos`` is the number of positives of the whole group.
+    ``all_pos`` is the number of positives of the whole group. Rows are counted once per distinct
+    score; the ranges of the running totals are cut by distinct scores, so a score that most rows
+    share does not matter.
     """
-    if cuts is None:
-        scores = df.select(F.col(score).try_cast("double").alias("score"))
-        cuts = range_cuts(scores.where(~F.isnan("score")), ["score"])[0]
     counts = score_counts(df, groups, score, label)
     # Totals of rows and hits, not of hits and misses: every metric then needs both columns, so
     # that Spark computes the counts once and reads their shuffle twice.
@@ -144,7 +143,7 @@ def metric_grid(df: DataFrame, score: str = "score", label: str = "label",
     """
     curve = score_curve(df, ["model", "split"], score, label)
     tuned = best_threshold(curve.where(F.col("split") == tune_on), ["model"]).select("model", "threshold")
-    rows = curve.join(small_side(tuned), "model", "left")
+    rows = curve.withColumn("threshold", looked_up(tuned, ["model"], "threshold"))
     plans = {"": F.lit(default), "_tuned": F.col("threshold")}
     cells = [
         F.struct(*[c.alias(name) for name, c in

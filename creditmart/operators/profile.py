@@ -160,8 +160,7 @@ def exact_percentiles(df: DataFrame, columns: Sequence[str], shares: Sequence[fl
     these ranges are ranked.
     """
     numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    cuts = dict(zip(columns, range_cuts(numbers, columns)))
-    ranged = long_form(with_ranges(numbers, cuts, suffix="_"), [
+    ranged = long_form(with_ranges(numbers, range_cuts(numbers, columns), suffix="_"), [
         {"column": F.lit(c), "value": F.col(c), RANGE: F.col(f"{RANGE}_{c}")} for c in columns
     ]).where("value is not null")
 

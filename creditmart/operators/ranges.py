@@ -1,61 +1,58 @@
 """Running totals over one long sorted column without a one-task window.
 
-The order column is cut into value ranges of about equal size. Running totals are then taken
+The order column is cut into value ranges of about equal numbers of rows. Running totals are then taken
 inside each range, and the totals of the ranges before it are added. Where the cuts lie changes
 only how even the tasks are, never the result.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 RANGE = "_range"
-MIN_RANGES = 32
-# Part of the rows the cuts are estimated from. Cuts only balance the tasks: every row takes
-# part in the result whichever rows the estimate saw.
-CUT_SHARE = 0.05
+MIN_RANGES, MAX_RANGES = 32, 256
+Cuts = Column | Sequence[float]
 
 
 def range_count(df: DataFrame) -> int:
-    """As many ranges as the session has shuffle partitions, but not too few."""
-    return max(MIN_RANGES, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    """As many ranges as the session has shuffle partitions, within bounds."""
+    return min(MAX_RANGES, max(MIN_RANGES, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
 
 
-def range_cuts(df: DataFrame, columns: Sequence[str], ranges: int | None = None) -> list[list[float]]:
-    """Ascending cut values per numeric column, from one quantile sketch over part of the rows.
+def range_cuts(df: DataFrame, columns: Sequence[str], ranges: int | None = None) -> dict[str, Column]:
+    """Ascending cut values per numeric column, from one quantile sketch over ``df``.
 
-    The sketch returns a fixed number of values per column, whatever the data size.
+    A one-row subquery that runs with the query it is used in: no job starts while the plan is
+    built. The sketch has a fixed number of values per column, whatever the data size.
     """
     ranges = ranges or range_count(df)
     shares = [step / ranges for step in range(1, ranges)]
-    part = df.select(*columns).sample(CUT_SHARE, seed=7)
-    row = part.agg(*[F.percentile_approx(F.col(c).cast("double"), shares, 4 * ranges).alias(c) for c in columns]).first()
-    return [sorted({cut for cut in row[c] or [] if math.isfinite(cut)}) for c in columns]
+    row = df.agg(F.struct(*[
+        F.percentile_approx(F.col(c).cast("double"), shares, 4 * ranges).alias(c) for c in columns]).alias("cuts")).scalar()
+    return {c: F.array_distinct(row.getField(c)) for c in columns}
 
 
-def with_ranges(df: DataFrame, cuts: Mapping[str, Sequence[float]], suffix: str | None = None) -> DataFrame:
+def with_ranges(df: DataFrame, cuts: Mapping[str, Cuts], suffix: str | None = None) -> DataFrame:
     """Adds the range number of each column, null for null values.
 
     One column gives ``_range``; several give ``_range<suffix><column>``.
     """
-    names = {column: RANGE if suffix is None else f"{RANGE}{suffix}{column}" for column in cuts}
-    cut_columns = [column for column in cuts if cuts[column]]
-    if cut_columns:
-        ends = (-math.inf, math.inf)
-        splitter = Bucketizer(
-            splitsArray=[[ends[0], *cuts[column], ends[1]] for column in cut_columns],
-            inputCols=cut_columns,
-            outputCols=[names[column] for column in cut_columns],
-            handleInvalid="keep",
-        )
-        df = splitter.transform(df)
-    single = {names[c]: F.lit(0.0) for c in cuts if not cuts[c]}
-    return df.withColumns(single) if single else df
+    # A subquery may not stand inside a lambda, so the cut values become columns first.
+    ends = {column: f"_ends_{column}" for column in cuts}
+    df = df.withColumns({
+        ends[column]: at if isinstance(at, Column) else F.array(*[F.lit(float(c)) for c in at]).cast("array<double>")
+        for column, at in cuts.items()})
+
+    def number(column: str) -> Column:
+        value = F.col(column)
+        below = F.coalesce(F.size(F.filter(ends[column], lambda end: end < value)), F.lit(0))
+        return F.when(value.isNotNull(), F.greatest(below, F.lit(0)))
+
+    return df.withColumns({
+        RANGE if suffix is None else f"{RANGE}{suffix}{column}": number(column) for column in cuts}).drop(*ends.values())
 
 
 def running_totals(
@@ -64,7 +61,7 @@ def running_totals(
     order: str,
     sums: Mapping[str, str],
     descending: bool = False,
-    cuts: Sequence[float] | None = None,
+    cuts: Cuts | None = None,
     group_totals: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Adds, per group, the total of each column up to and including the row.
@@ -74,7 +71,7 @@ def running_totals(
     and not null.
     """
     group_totals = group_totals or {}
-    cuts = range_cuts(df, [order])[0] if cuts is None else list(cuts)
+    cuts = range_cuts(df, [order])[order] if cuts is None else cuts
     ranged = with_ranges(df, {order: cuts})
 
     def sort(column: str):

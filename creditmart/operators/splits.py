@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from creditmart import constants as K
 from creditmart.functions.dates import first_of_month, month_list, months_back
-from creditmart.operators.small import small_side
+from creditmart.operators.lookup import looked_up
 
 
 def between_dates(column: str, start: str, end: str) -> Column:
@@ -101,14 +101,14 @@ def stratified_split(df: DataFrame, keys: Sequence[str], ratio: float = 0.8, lab
         "_take": F.floor(F.sum("_in_slot").over(stratum) * ratio + 1e-9),
     })
     has_cut = (F.col("_before") < F.col("_take")) & (F.col("_take") <= F.col("_before") + F.col("_in_slot"))
-    cut_slot = small_side(placed.where(has_cut).select(label, "_slot", "_before", "_take"))
+    cut_slot = placed.where(has_cut).select(label, "_slot", "_before", "_take")
 
     # Slots before the cut slot are train throughout; in it, hashes count up to the share.
     draws = slotted.join(cut_slot, [label, "_slot"]).groupBy(label, "_before", "_take", "_hash").agg(
         F.count(F.lit(1)).alias("_n"))
     upto = Window.partitionBy(label).orderBy("_hash").rowsBetween(Window.unboundedPreceding, -1)
     rank = F.col("_before") + F.coalesce(F.sum("_n").over(upto), F.lit(0))
-    cut = small_side(draws.withColumn("_rank", rank).where(F.col("_rank") < F.col("_take"))
-                     .groupBy(label).agg(F.max("_hash").alias("_cut")))
+    cut = (draws.withColumn("_rank", rank).where(F.col("_rank") < F.col("_take"))
+           .groupBy(label).agg(F.max("_hash").alias("_cut")))
     part = F.when(F.col("_hash") <= F.col("_cut"), "train").otherwise("test")
-    return hashed.join(cut, label, "left").withColumn("part", part).drop("_hash", "_cut")
+    return hashed.withColumn("_cut", looked_up(cut, [label], "_cut")).withColumn("part", part).drop("_hash", "_cut")

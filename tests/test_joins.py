@@ -115,9 +115,12 @@ def test_month_join_fans_out_and_keeps_the_base(spark):
     assert out.columns == ["customer_id", "snapshot_date", "loan_id", "snap_ym", "x"]
 
 
-def test_small_side_is_checked(spark):
-    from creditmart.operators.small import small_side
-    big, few = spark.range(100), spark.range(3)
-    assert "broadcast" in big.join(small_side(few, 10), "id")._jdf.queryExecution().logical().toString().lower()
-    side = small_side(big, 10)
-    assert side is big and small_side(few, 10).count() == 3
+def test_looked_up_is_lazy_and_null_safe(spark):
+    from creditmart.operators.lookup import looked_up
+    rows = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "k string, n int")
+    side = spark.createDataFrame([("a", 0.5), (None, 0.9)], "k string, v double")
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    out = rows.withColumn("v", looked_up(side, ["k"], "v"))
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == before
+    assert {r["n"]: r["v"] for r in out.collect()} == {1: 0.5, 2: None, 3: None}
+    assert {r["v"] for r in rows.withColumn("v", looked_up(side.limit(0), ["k"], "v")).collect()} == {None}

@@ -143,3 +143,18 @@ def test_primary_metrics_fall_back(spark):
     assert O.primary_metrics(df, prefer="lr").first()["primary_model"] == "lr"
     assert O.enough_points(O.primary_metrics(df)).count() == 2
     assert O.enough_points(O.primary_metrics(df), least=3).count() == 0
+
+
+def test_one_dominant_score_does_not_gather_the_others(spark):
+    """99 % equal scores: no job while the plan is built, and no range holds most of the distinct scores."""
+    from creditmart.operators.ranges import RANGE, range_cuts, with_ranges
+    df = spark.range(100_000).selectExpr(
+        "case when id % 100 = 0 then id / 100000.0d else 0.0d end as score", "cast(id % 3 = 0 as int) as label", "'m' as model", "'Valid' as split")
+    jobs = lambda: len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+    before = jobs()
+    grid = M.metric_grid(df)
+    counts = M.score_counts(df, ["model", "split"])
+    ranged = with_ranges(counts, range_cuts(counts, ["score"])).groupBy(RANGE).count()
+    assert jobs() == before
+    assert max(r["count"] for r in ranged.collect()) <= 1000 // 8
+    assert grid.count() == 2
