@@ -14,12 +14,15 @@ HEADER_TYPOS = {"interst_rate": "interest_rate", "payement_behaviour": "payment_
 DATE_FORMATS = ("d/M/yy", "dd/MM/yy", "d/M/yyyy", "dd/MM/yyyy", "M/d/yyyy", "yyyy-MM-dd")
 
 # ---- fixed values: raw sources -------------------------------------------------------------
-SOURCE_GLOBS = {
-    "loan_daily": "lms_loan_daily*",
-    "clickstream": "feature_clickstream*",
-    "attributes": "feature{,s}_attributes*",
-    "financials": "feature{,s}_financials*",
+# Known names of each data set, in the order they are looked for; the first that exists is read.
+SOURCE_NAMES = {
+    "loan_daily": ("lms_loan_daily",),
+    "clickstream": ("feature_clickstream",),
+    "attributes": ("feature_attributes", "features_attributes"),
+    "financials": ("feature_financials", "features_financials"),
 }
+# Data sets with line breaks inside quotes; Spark reads such a file in one task.
+MULTI_LINE = ("financials",)
 
 # ---- fixed values: silver schemas ----------------------------------------------------------
 LOAN_TYPES = {
@@ -110,6 +113,10 @@ DEFAULT_THRESHOLD = 0.5
 MIN_AUC_ROWS = 10
 BOOSTING = {"stepSize": 0.05, "maxDepth": 6, "subsamplingRate": 0.8,
             "featureSubsetStrategy": "0.8", "seed": 42}
+MAX_TREES = 2000
+PATIENCE = 50
+SEARCH_DRAWS = 100
+SEARCH_FOLDS = 3
 # Search space; the booster's own penalty and column-sampling knobs that MLlib lacks are
 # left out.
 SEARCH_SPACE = {

@@ -61,12 +61,15 @@ def as_of_join(
     Base rows without such a row stay, with nulls. Several history rows of one day are cut to
     one by ``tie_breaks`` (per history; default: a hash of the row, so that reruns agree).
     """
-    result = base.join(as_of_dates(base, histories, key, base_date, feature_date),
-                       [key, base_date], "left")
+    dates = as_of_dates(base, histories, key, base_date, feature_date)
+    result = base.join(dates, [key, base_date], "left")
     for place, history in enumerate(histories):
         date = f"_date_{place}"
         order = list(tie_breaks[place]) if tie_breaks else [row_hash(history)]
-        rows = keep_first(history, [key, feature_date], order).withColumnRenamed(feature_date, date)
+        # At most one row per label key survives, so only days that were found are cut to one row.
+        used = dates.where(F.col(date).isNotNull()).select(key, F.col(date).alias(feature_date)).distinct()
+        known = history.join(used, [key, feature_date], "left_semi")
+        rows = keep_first(known, [key, feature_date], order).withColumnRenamed(feature_date, date)
         result = result.join(rows, [key, date], "left").drop(date)
     front = list(base.columns)
     return result.select(*front, *[name for name in result.columns if name not in front])

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -31,9 +32,9 @@ from creditmart.operators.modeling import (
 from creditmart.operators.monitoring import trend
 from creditmart.operators.profile import count_rows, rows_per_snapshot
 from creditmart.operators.projection import ensure_columns, prefixed
-from creditmart.operators.splits import split_summary, stratified_split, time_split, training_split
+from creditmart.operators.splits import split_summary, stratified_split, time_split, training_split, window_months
 from creditmart.plans import layers
-from creditmart.sources.readers import read_labels, read_raw, read_scored, read_table
+from creditmart.sources.readers import found, read_labels, read_raw, read_scored, read_table
 from creditmart.sources.writers import (
     write_csv,
     write_metrics,
@@ -64,9 +65,11 @@ class Mart:
     def all_months(self, table: str) -> DataFrame:
         return read_table(self.spark, self.path(table))
 
+    def has(self, table: str) -> bool:
+        return found(self.spark, self.path(table))
+
     def write(self, df: DataFrame, table: str) -> dict:
-        written = F.col("snap_ym").isin(*self.months) if self.months else None
-        return write_months(df, self.path(table), written=written)
+        return write_months(df, self.path(table), months=self.months)
 
 
 # ---- layers -----------------------------------------------------------------------------
@@ -76,6 +79,9 @@ def build_bronze(mart: Mart, raw_dir: str, run_date: str, datasets: Sequence[str
     log = []
     for name in datasets:
         raw = read_raw(mart.spark, raw_dir, name)
+        if raw is None:
+            log.append({"path": mart.path(f"bronze/{name}"), "rows": 0, "cols": 0, "skipped": "no source"})
+            continue
         log.append(mart.write(layers.bronze(raw, run_date, mart.months), f"bronze/{name}"))
     return log
 
@@ -94,13 +100,17 @@ _SILVER: dict[str, Callable[[DataFrame], DataFrame]] = {
 
 
 def build_silver(mart: Mart, datasets: Sequence[str] = DATASETS) -> list[dict]:
-    return [mart.write(_SILVER[name](mart.read(f"bronze/{name}")), f"silver/{name}") for name in datasets]
+    """Silver of the data sets that are in bronze."""
+    return [mart.write(_SILVER[name](mart.read(f"bronze/{name}")), f"silver/{name}")
+            for name in datasets if mart.has(f"bronze/{name}")]
 
 
 def build_gold_features(mart: Mart) -> list[dict]:
     """Feature and wide tables of financials and attributes."""
     log = []
     for name, build in (("financials", layers.gold_financials), ("attributes", layers.gold_attributes)):
+        if not mart.has(f"silver/{name}"):
+            continue
         features, wide = build(mart.read(f"silver/{name}"))
         log += [mart.write(features, f"gold/{name}_features"), mart.write(wide, f"gold/{name}_wide")]
     return log
@@ -112,14 +122,16 @@ def build_labels(mart: Mart, dpd: int = K.DEFAULT_DPD, mob: int = K.DEFAULT_MOB)
 
 
 def build_model_dataset(mart: Mart, exact: bool = False) -> dict:
-    """Model dataset of the mart's months; as-of reads the feature history of all months."""
+    """Model dataset of the mart's months; as-of reads the feature history up to the last of them."""
     labels = mart.read("gold/label_store")
     if exact:
         built = layers.gold_model_dataset_exact(
             labels, mart.read("gold/financials_features").drop("snap_ym"), mart.read("gold/attributes_features"))
         built = built.withColumn("snap_ym", F.date_format("snapshot_date", "yyyy-MM"))
     else:
-        history = [mart.all_months("gold/financials_features"), mart.all_months("gold/attributes_features")]
+        history = [mart.all_months(t) for t in ("gold/financials_features", "gold/attributes_features") if mart.has(t)]
+        if mart.months:
+            history = [h.where(F.col("snap_ym") <= max(mart.months)) for h in history]
         built = layers.gold_model_dataset(labels, history, keep=["snap_ym"])
     return mart.write(built, "gold/model_dataset")
 
@@ -161,7 +173,7 @@ def check_mart(mart: Mart) -> tuple[DataFrame, DataFrame]:
 # ---- training ---------------------------------------------------------------------------
 
 def train_models(df: DataFrame, out: str, dates=K.SPLIT_DATES, models: Sequence[str] = ("lr", "xgb"),
-                 max_trees: int = 2000, exact: bool = True) -> DataFrame:
+                 max_trees: int = K.MAX_TREES, exact: bool = True) -> DataFrame:
     """Train on time splits, store pipelines and metrics, return the model comparison.
 
     ``df`` is the gold model dataset. Both models are refitted on train and validation rows; the
@@ -186,11 +198,53 @@ def train_models(df: DataFrame, out: str, dates=K.SPLIT_DATES, models: Sequence[
     grid = df.sparkSession.read.parquet(f"{out}/metrics/parquet")
     comparison = compare_models(grid)
     write_metrics(comparison, f"{out}/comparison", ("json",))
+    tuned = {r["model"]: r["tuned_threshold"] for r in tuned_thresholds(grid).collect()}  # one row per model
+    types = dict(df.dtypes)
+    for name in fitted:
+        write_card(df.sparkSession, f"{out}/models/{name}", name, tuned.get(name),
+                   {c: types[c] for c in (*features.numeric, *features.category)})
     return comparison
 
 
+CARD = "model string, threshold double, columns array<string>, types array<string>"
+
+
+def write_card(spark: SparkSession, path: str, name: str, threshold: float | None, columns: dict[str, str]) -> None:
+    """One row beside a stored pipeline: its tuned threshold and the columns it was fitted on."""
+    row = spark.createDataFrame([(name, threshold, list(columns), list(columns.values()))], CARD)
+    write_metrics(row, f"{path}_card")
+
+
+def read_card(spark: SparkSession, path: str) -> tuple[float | None, dict[str, str]]:
+    """Threshold and columns with types of a stored pipeline; nothing if it has no card."""
+    if not found(spark, f"{path}_card/parquet"):
+        return None, {}
+    row = spark.read.schema(CARD).parquet(f"{path}_card/parquet").first()
+    return row["threshold"], dict(zip(row["columns"], row["types"]))
+
+
+def train_rolling(df: DataFrame, out: str, first_run: str, last_run: str, mode: str = "month",
+                  models: Sequence[str] = ("lr", "xgb"), max_trees: int = K.MAX_TREES, exact: bool = True) -> DataFrame:
+    """One training run per run month on its own windows; returns the comparison by run and model.
+
+    Each run is stored under its month; the metrics of all runs are compared in one query.
+    """
+    spark = df.sparkSession
+    windows = window_months(spark, first_run, last_run, mode)
+    spans = windows.groupBy("run_month", "split").agg(
+        F.min("month").alias("start"), F.last_day(F.max("month")).alias("end")).orderBy("run_month").collect()  # a few per month
+    runs: dict[str, dict[str, tuple[str, str]]] = {}
+    for r in spans:
+        runs.setdefault(str(r["run_month"]), {})[r["split"]] = (str(r["start"]), str(r["end"]))
+    for run, dates in runs.items():
+        train_models(df, f"{out}/run_month={run}", dates, models, max_trees, exact)
+    grids = [spark.read.parquet(f"{out}/run_month={run}/metrics/parquet").withColumn("run_month", F.lit(run).cast("date"))
+             for run in runs]
+    return compare_models(reduce(DataFrame.unionByName, grids), ["run_month"])
+
+
 def train_clickstream_model(labels: DataFrame, features: DataFrame, train_date: str, out: str,
-                            draws: int = 100, folds: int = 3, parallelism: int = 4, scoring: str = "hard",
+                            draws: int = K.SEARCH_DRAWS, folds: int = K.SEARCH_FOLDS, parallelism: int = 4, scoring: str = "hard",
                             months: int = 12, oot_months: int = 2) -> DataFrame:
     """Search a boosted model on clickstream features; returns AUC and Gini per part.
 
@@ -217,10 +271,17 @@ def train_clickstream_model(labels: DataFrame, features: DataFrame, train_date:
 def score_batch(df: DataFrame, model_dir: str, batch_ts: str, out: str, keep: Sequence[str] = (),
                 models: Sequence[str] = ("lr", "xgb"), overrides: dict[str, float] | None = None,
                 grid: DataFrame | None = None, expected: dict[str, str] | None = None) -> dict:
-    """Score a batch with the stored models at their tuned thresholds and append it by time."""
+    """Score a batch with the stored models and append it by time.
+
+    Threshold and expected columns come from the cards stored beside the models, unless they are
+    given: an override counts before the tuned threshold of ``grid``, and that before the card's.
+    """
     overrides = overrides or {}
     tuned = {} if grid is None else {
         r["model"]: r["tuned_threshold"] for r in tuned_thresholds(grid).collect()}  # one row per model
+    cards = {name: read_card(df.sparkSession, f"{model_dir}/{name}") for name in models}
+    if expected is None:
+        expected = {c: kind for _, columns in cards.values() for c, kind in columns.items()}
     ids = [c for c in keep if c in df.columns]
     if expected:
         df = df.select(*ids, *[c for c in df.columns if c not in ids])
@@ -228,18 +289,23 @@ def score_batch(df: DataFrame, model_dir: str, batch_ts: str, out: str, keep: Se
     else:
         filled = df
     loaded = {
-        name: (PipelineModel.load(f"{model_dir}/{name}"), pick_threshold(overrides.get(name), tuned.get(name)))
+        name: (PipelineModel.load(f"{model_dir}/{name}"), pick_threshold(overrides.get(name), tuned.get(name), cards[name][0]))
         for name in models
     }
     return write_scores(score(filled, loaded, ids), out, batch_ts)
 
 
 def monitor(spark: SparkSession, scored_path: str, labels_path: str | None, out: str,
-            scored_form: str = "parquet") -> DataFrame:
-    """Metric trend over all scored batches, stored as CSV and Parquet."""
+            scored_form: str | None = None, min_points: int = 2) -> DataFrame:
+    """Metric trend over all scored batches, stored as Parquet and CSV.
+
+    With fewer than ``min_points`` batches there is no trend and an error says so.
+    """
+    scored = read_scored(spark, scored_path, scored_form)
+    if scored.select("batch_ts").distinct().limit(min_points).count() < min_points:
+        raise ValueError(f"a trend needs at least {min_points} scored batches in {scored_path}")
     labels = read_labels(spark, labels_path) if labels_path else None
-    rows = trend(read_scored(spark, scored_path, scored_form), labels) if labels is not None else trend(
-        read_scored(spark, scored_path, scored_form).withColumn("label", F.lit(None).cast("int")))
+    rows = trend(scored, labels) if labels is not None else trend(scored.withColumn("label", F.lit(None).cast("int")))
     write_metrics(rows, out, ("parquet", "csv"))
     return spark.read.parquet(f"{out}/parquet")
 

@@ -33,11 +33,32 @@ def raw_reader(spark: SparkSession, quoted: bool = False, schema: StructType | N
     return reader
 
 
+def found(spark: SparkSession, pattern: str) -> bool:
+    """Does any file or folder match a path pattern, in whatever store it is?"""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    hits = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return hits is not None and len(hits) > 0
+
+
+def source_path(spark: SparkSession, folder: str, dataset: str, streaming: bool = False) -> str | None:
+    """Pattern of the first known name of a data set that exists, or None.
+
+    A name stands for ``name.csv`` or a folder ``name``; for streams also for numbered parts
+    ``name_1.csv``, which arrive one by one (and need not be there yet).
+    """
+    end = "{,.csv,_[0-9]*.csv}" if streaming else "{,.csv}"
+    names = K.SOURCE_NAMES[dataset]
+    for name in names:
+        if found(spark, f"{folder}/{name}{end}"):
+            return f"{folder}/{name}{end}"
+    return f"{folder}/{names[0]}{end}" if streaming else None
+
+
 def read_raw(spark: SparkSession, folder: str, dataset: str, schema: StructType | None = None,
-             streaming: bool = False) -> DataFrame:
-    """One raw data set of a folder, in files (or folders of files) under any known name."""
-    reader = raw_reader(spark, dataset != "loan_daily", schema, streaming)
-    return reader.csv(f"{folder}/{K.SOURCE_GLOBS[dataset]}")
+             streaming: bool = False) -> DataFrame | None:
+    """One raw data set of a folder under its first known name, None if there is none."""
+    path = source_path(spark, folder, dataset, streaming)
+    return None if path is None else raw_reader(spark, dataset in K.MULTI_LINE, schema, streaming).csv(path)
 
 
 def explore_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -58,10 +79,35 @@ def read_month(spark: SparkSession, path: str, month: str, form: str = "parquet"
 
 
 def read_any(spark: SparkSession, path: str) -> DataFrame:
-    """Parquet or CSV, told by the file ending; a folder is Parquet."""
-    if path.lower().endswith(".csv"):
-        return explore_csv(spark, path)
-    return spark.read.parquet(path)
+    """Parquet for folders and the endings .parquet and .pq, CSV for everything else."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder = where.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(where).isDirectory()
+    if path.lower().endswith((".parquet", ".pq")) or folder and not path.lower().endswith(".csv"):
+        return spark.read.parquet(path)
+    return explore_csv(spark, path)
+
+
+def read_mixed(spark: SparkSession, path: str, change=lambda df: df) -> DataFrame:
+    """All Parquet and CSV files below a path in one frame.
+
+    ``change`` is applied to each format's frame. Columns are matched by name; those of the CSV
+    files take the types of the Parquet files, null where a value cannot.
+    """
+    frames = []
+    for form, ending in (("parquet", "*.parquet"), ("csv", "*.csv")):
+        files = spark.read.format("binaryFile").option("pathGlobFilter", ending).load(path).inputFiles()
+        if files:
+            reader = spark.read.option("pathGlobFilter", ending)
+            frames.append(change(reader.parquet(path) if form == "parquet" else reader.csv(path, header=True, inferSchema=True)))
+    if not frames:
+        return change(spark.read.parquet(path))
+    if len(frames) == 1:
+        return frames[0]
+    types = dict(frames[0].dtypes)
+    text = frames[1].select(*[
+        F.col(c).cast("string").try_cast(types[c]).alias(c) if c in types and types[c] != kind else F.col(c)
+        for c, kind in frames[1].dtypes])
+    return frames[0].unionByName(text, allowMissingColumns=True)
 
 
 def normalise_labels(labels: DataFrame) -> DataFrame:
@@ -75,7 +121,10 @@ def normalise_labels(labels: DataFrame) -> DataFrame:
     return labels.withColumns(casts)
 
 
-def read_labels(spark: SparkSession, path: str, form: str = "parquet") -> DataFrame:
+def read_labels(spark: SparkSession, path: str, form: str | None = None) -> DataFrame:
+    """Labels of one format, or without ``form`` of all Parquet and CSV files there."""
+    if form is None:
+        return read_mixed(spark, path, normalise_labels)
     return normalise_labels(read_table(spark, path, form))
 
 
@@ -86,17 +135,14 @@ def with_batch_time(df: DataFrame) -> DataFrame:
     return df.withColumn("batch_ts", F.coalesce(named, F.col("_metadata.file_modification_time")))
 
 
-def read_scored(spark: SparkSession, path: str, form: str = "parquet") -> DataFrame:
-    """All scored batches with their time; a table partitioned by ``batch_ts`` has it already."""
-    scored = read_table(spark, path, form)
-    return scored if "batch_ts" in scored.columns else with_batch_time(scored)
-
+def read_scored(spark: SparkSession, path: str, form: str | None = None) -> DataFrame:
+    """All scored batches with their time; a table partitioned by ``batch_ts`` has it already.
 
-def read_model_dataset(spark: SparkSession, path: str) -> DataFrame:
-    """Gold model dataset with a proper date and an integer label."""
-    df = spark.read.parquet(path)
-    return df.withColumns({"snapshot_date": F.col("snapshot_date").try_cast("date"),
-                           "label": F.col("label").cast("int")})
+    Without ``form`` Parquet and CSV batches are read together.
+    """
+    def timed(scored: DataFrame) -> DataFrame:
+        return scored if "batch_ts" in scored.columns else with_batch_time(scored)
+    return read_mixed(spark, path, timed) if form is None else timed(read_table(spark, path, form))
 
 
 def months_in(df: DataFrame, column: str = "snapshot_date") -> DataFrame:

@@ -1,36 +1,70 @@
 """Layer tables, previews, scores and metrics.
 
 Layer tables are partitioned by month and overwritten partition by partition, so a rerun of a
-month replaces exactly that month. The rebalance hint lets AQE size the files of every month:
+month replaces exactly that month, also when it has no rows any more. The rebalance hint lets AQE size the files of every month:
 it splits a month that is far bigger than the others and merges small ones.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from creditmart import constants as K
 from creditmart.operators.projection import top_rows
 
 
+def _table_files(spark: SparkSession, path: str, schema: StructType, form: str) -> dict[str, set[str]]:
+    """Files of a table by partition folder; empty if there is no table yet."""
+    try:
+        files = spark.read.schema(schema).format(form).load(path).inputFiles()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return {}
+    found: dict[str, set[str]] = {}
+    for name in map(unquote, files):
+        found.setdefault(name.rpartition("/")[0], set()).add(name)
+    return found
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def write_months(df: DataFrame, path: str, by: Sequence[str] = ("snap_ym",), form: str = "parquet",
-                 rebalance: bool = True, written: Column | None = None) -> dict:
+                 rebalance: bool = True, months: Sequence[str] | None = None) -> dict:
     """Overwrite the partitions of ``df`` in a table and return a small log entry.
 
-    The rows are counted in the written table, from the file footers, so the plan of ``df`` runs
-    once. ``written`` limits the count to partitions of interest.
+    ``months`` names the values of the first partition column that the frame stands for (none: all). Of these,
+    partitions that the frame has no rows for are removed, so that an emptied month does not keep
+    its old rows; without ``months`` other partitions are left alone. The rows are counted in the
+    written table, from the file footers, so the plan of ``df`` runs once.
     """
+    spark = df.sparkSession
+    before = _table_files(spark, path, df.schema, form)
     rows = df.hint("rebalance", *[F.col(c) for c in by]) if rebalance else df
     writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by)
     if form == "csv":
         writer = writer.option("header", True)
     writer.format(form).save(path)
-    table = df.sparkSession.read.schema(df.schema).format(form).load(path)
-    stored = table if written is None else table.where(written)
-    return {"path": path, "rows": stored.count(), "cols": len(df.columns)}
+    after = _table_files(spark, path, df.schema, form)
+    written = [folder for folder, files in after.items() if files != before.get(folder)]
+    if months is not None:
+        meant = {f"{by[0]}={month}" for month in months}
+        for folder in after.keys() - set(written):
+            if not meant or meant & set(folder.split("/")):
+                _remove(spark, folder)
+    stored = 0
+    if written:
+        stored = spark.read.schema(df.schema).option("basePath", path).format(form).load(written).count()
+    return {"path": path, "rows": stored, "cols": len(df.columns)}
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -45,7 +79,7 @@ def write_preview(df: DataFrame, path: str, order: str = "n_rows", rows: int = K
 def write_scores(df: DataFrame, path: str, batch_ts: str) -> dict:
     """One scored batch as a partition; scoring the same batch again replaces it."""
     batch = df.withColumn("batch_ts", F.lit(batch_ts).cast("timestamp"))
-    return write_months(batch, path, by=["batch_ts"], written=F.col("batch_ts") == F.lit(batch_ts).cast("timestamp"))
+    return write_months(batch, path, by=["batch_ts"])
 
 
 def write_predictions(df: DataFrame, path: str) -> dict:
@@ -53,9 +87,13 @@ def write_predictions(df: DataFrame, path: str) -> dict:
 
 
 def write_metrics(df: DataFrame, path: str, forms: Sequence[str] = ("parquet",)) -> None:
-    """A small metrics table in one or more formats, each in its own folder."""
-    for form in forms:
-        writer = df.coalesce(1).write.mode("overwrite")
+    """A small metrics table in one or more formats, each in its own folder.
+
+    The plan of ``df`` runs once; the other formats are written from the first one's files.
+    """
+    for number, form in enumerate(forms):
+        rows = df if number == 0 else df.sparkSession.read.schema(df.schema).format(forms[0]).load(f"{path}/{forms[0]}")
+        writer = rows.coalesce(1).write.mode("overwrite")
         if form == "csv":
             writer = writer.option("header", True)
         writer.format(form).save(f"{path}/{form}")

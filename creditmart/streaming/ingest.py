@@ -3,13 +3,15 @@
 Every raw data set is a file stream. A run takes all files that arrived since the last one
 (``availableNow``) and ends; the stream checkpoint replaces a scheduler's catch-up. Bronze keeps
 one partition per month and batch, so a batch that is repeated after a failure replaces its own
-rows. The later layers are rebuilt for the months the batch touched.
+rows. The later layers are rebuilt for the months of all bronze parts that a log does not name as
+processed yet. Bronze has a batch column here, so a root is filled either by this or by the batch job.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -41,32 +43,60 @@ def ingest_dataset(spark: SparkSession, root: str, raw_dir: str, dataset: str, s
     query.awaitTermination()
 
 
-def touched_months(spark: SparkSession, root: str, run_date: str, datasets: Sequence[str] = DATASETS) -> list[str]:
-    """Months with rows loaded on the run date; at most as many as the calendar has."""
-    months = None
+PROCESSED = "log/processed"
+
+
+def bronze_parts(spark: SparkSession, root: str, datasets: Sequence[str]) -> DataFrame:
+    """(dataset, snap_ym, batch_id) of everything in bronze; partition values only."""
+    parts = None
     for name in datasets:
-        found = spark.read.parquet(f"{root}/bronze/{name}").where(
-            F.col("ingest_dt") == F.lit(run_date).cast("date")).select(F.col("snap_ym").cast("string"))
-        months = found if months is None else months.unionByName(found)
-    return sorted(row["snap_ym"] for row in months.distinct().collect())
+        found = spark.read.parquet(f"{root}/bronze/{name}").select(
+            F.lit(name).alias("dataset"), F.col("snap_ym").cast("string").alias("snap_ym"), F.col("batch_id").cast("long").alias("batch_id"))
+        parts = found if parts is None else parts.unionByName(found)
+    return parts.distinct()
+
+
+def pending_parts(spark: SparkSession, root: str, datasets: Sequence[str]) -> DataFrame:
+    """What is in bronze but has not been carried through all layers yet.
+
+    The log of processed parts is written last, so a run that ends between two layers leaves its
+    parts pending for the next one, whatever that one's date is.
+    """
+    parts = bronze_parts(spark, root, datasets)
+    try:
+        done = spark.read.parquet(f"{root}/{PROCESSED}")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return parts
+    return parts.join(done, ["dataset", "snap_ym", "batch_id"], "left_anti")
 
 
 def ingest_available(spark: SparkSession, root: str, raw_dir: str, schemas: dict[str, StructType],
                      checkpoint: str, run_date: str, dpd: int = K.DEFAULT_DPD, mob: int = K.DEFAULT_MOB) -> list[dict]:
-    """One incremental run over all data sets, then silver and gold of the touched months.
+    """One incremental run over all data sets, then silver and gold of the months not yet carried through.
 
-    Labels of later months look back at the features, so model rows from the earliest touched
+    Labels of later months look back at the features, so model rows from the earliest such
     month on are rebuilt.
     """
     for name, schema in schemas.items():
         ingest_dataset(spark, root, raw_dir, name, schema, checkpoint, run_date)
-    months = touched_months(spark, root, run_date, list(schemas))
+    return process_pending(spark, root, list(schemas), dpd, mob)
+
+
+def process_pending(spark: SparkSession, root: str, datasets: Sequence[str] = DATASETS,
+                    dpd: int = K.DEFAULT_DPD, mob: int = K.DEFAULT_MOB) -> list[dict]:
+    """Silver and gold of all pending months; at most as many as the calendar has."""
+    parts = pending_parts(spark, root, datasets)
+    pending = parts.collect()  # one row per data set, month and batch
+    months = sorted({row["snap_ym"] for row in pending})
     if not months:
         return []
     mart = Mart(spark, root, tuple(months))
-    log = build_silver(mart, list(schemas)) + build_gold_features(mart) + [build_labels(mart, dpd, mob)]
+    log = build_silver(mart, datasets) + build_gold_features(mart) + [build_labels(mart, dpd, mob)]
     known = mart.all_months("gold/label_store").select(F.col("snap_ym").cast("string")).distinct().collect()
     later = sorted(r["snap_ym"] for r in known if r["snap_ym"] >= months[0])
     if later:
         log.append(build_model_dataset(Mart(spark, root, tuple(later))))
+    spark.createDataFrame(pending, parts.schema).coalesce(1).write.mode("append").parquet(f"{root}/{PROCESSED}")
     return log

@@ -12,6 +12,7 @@ from creditmart.operators.modeling import Features, fit_boosted, score, search
 from creditmart.plans import jobs
 from creditmart.sources.readers import read_any, read_labels, read_month, read_scored, text_schema
 from creditmart.sources.writers import write_csv, write_preview, write_scores
+from creditmart.streaming import ingest
 from creditmart.streaming.ingest import ingest_available
 
 MONTHS = [f"2023-{m:02d}-01" for m in range(1, 10)]
@@ -165,10 +166,18 @@ def test_train_score_monitor(mart, tmp_path):
 
     for ts, month in (("2024-01-01 10:00:00", "2023-07-01"), ("2024-02-01 10:00:00", "2023-08-01")):
         batch = md.where(F.col("snapshot_date") == month).drop("label")
-        expected = {c: k for c, k in batch.dtypes if c not in ("loan_id", "customer_id", "snapshot_date")}
+        # Threshold and columns come from the cards; the batch lacks a column.
         log = jobs.score_batch(batch.drop("dti"), f"{tmp_path}/models", ts, f"{tmp_path}/scored",
-                               keep=["loan_id", "customer_id", "snapshot_date"], grid=grid, expected=expected)
+                               keep=["loan_id", "customer_id", "snapshot_date"])
         assert log["rows"] == 20
+    tuned = {r["model"]: r["threshold"] for r in grid.where("split = 'Valid_tuned'").collect()}
+    for name in ("lr", "xgb"):
+        threshold, columns = jobs.read_card(table.spark, f"{tmp_path}/models/{name}")
+        assert threshold == tuned[name] and "dti" in columns
+        for r in table.spark.read.parquet(f"{tmp_path}/scored").collect():
+            assert r[f"pred_{name}"] == int(r[f"proba_{name}"] >= threshold)
+    with pytest.raises(ValueError):
+        jobs.monitor(table.spark, f"{tmp_path}/scored", None, f"{tmp_path}/trend", min_points=3)
     trend = jobs.monitor(table.spark, f"{tmp_path}/scored", table.path("gold/label_store"), f"{tmp_path}/trend").orderBy("batch_ts")
     got = trend.collect()
     assert [r["batch_month"] for r in got] == ["2024-01", "2024-02"]
@@ -249,3 +258,95 @@ def test_incremental_ingestion_equals_one_build(mart, spark, tmp_path):
     streamed = jobs.Mart(spark, root)
     for name in ("gold/label_store", "gold/model_dataset", "gold/financials_features"):
         assert snapshot(streamed, name) == snapshot(table, name), name
+
+
+LAYERS = ["bronze/loan_daily", "bronze/clickstream", "silver/loan_daily", "silver/clickstream", "gold/label_store", "gold/model_dataset"]
+
+
+@pytest.mark.parametrize("named", [["2023-02"], []])
+def test_an_emptied_month_is_empty_in_every_layer(spark, tmp_path, named):
+    months = ["2023-01-01", "2023-02-01", "2023-03-01"]
+    root = str(tmp_path / "tables")
+    jobs.build_mart(spark, root, write_raw(tmp_path / "raw", months), "2024-01-01")
+    fewer = write_raw(tmp_path / "fewer", [months[0], months[2]])
+    log = jobs.build_mart(spark, root, fewer, "2024-01-01", months=named)
+    mart = jobs.Mart(spark, root)
+    for name in LAYERS:
+        left = {r["snap_ym"] for r in mart.all_months(name).select(F.col("snap_ym").cast("string").alias("snap_ym")).distinct().collect()}
+        assert left == {"2023-01", "2023-03"}, name
+    if named:
+        assert all(entry["rows"] == 0 for entry in log)
+    else:
+        assert {e["path"].split("/tables/")[1]: e["rows"] for e in log}["silver/clickstream"] == 80
+
+
+def test_a_run_that_ends_after_bronze_is_made_up_for(spark, tmp_path, monkeypatch):
+    raw = write_raw(tmp_path / "raw", MONTHS[:2])
+    schemas = {"loan_daily": text_schema(LOANS), "clickstream": text_schema(CLICKS), "attributes": text_schema(ATTRIBUTES),
+               "financials": text_schema(FINANCIALS)}
+    root, state = str(tmp_path / "tables"), str(tmp_path / "state")
+
+    def lost(*_):
+        raise RuntimeError("lost")
+    with monkeypatch.context() as patch:
+        patch.setattr(ingest, "build_silver", lost)
+        with pytest.raises(RuntimeError):
+            ingest_available(spark, root, raw, schemas, state, "2024-01-01")
+    log = ingest_available(spark, root, raw, schemas, state, "2024-01-02")
+    assert {e["path"].split("/tables/")[1]: e["rows"] for e in log}["silver/loan_daily"] == 80
+    assert ingest_available(spark, root, raw, schemas, state, "2024-01-03") == []
+
+
+def test_first_source_name_counts_and_a_missing_source_is_skipped(spark, tmp_path):
+    raw = tmp_path / "raw"
+    write_raw(raw, MONTHS[:1])
+    (raw / "feature_financials.csv").write_text((raw / "features_financials.csv").read_text())
+    (raw / "lms_loan_daily.csv.bak").write_text((raw / "lms_loan_daily.csv").read_text())
+    (raw / "feature_clickstream.csv").unlink()
+    log = jobs.build_mart(spark, str(tmp_path / "t"), str(raw), "2024-01-01")
+    by_path = {e["path"].split("/t/")[1]: e for e in log}
+    assert by_path["bronze/clickstream"]["skipped"] and "silver/clickstream" not in by_path
+    assert by_path["bronze/financials"]["rows"] == by_path["bronze/loan_daily"]["rows"] == 40
+
+
+def test_mixed_formats_are_read_together(spark, tmp_path):
+    both = spark.createDataFrame([("a", "2023-01-01", 1)], "Customer_ID string, snapshot_date string, label int")
+    both.write.parquet(f"{tmp_path}/labels")
+    (tmp_path / "labels/more.csv").write_text("Customer_ID,snapshot_date,label\nb,2023-02-01,0\nc,junk,\n")
+    got = {r["customer_id"]: (r["snapshot_date"], r["label"]) for r in read_labels(spark, f"{tmp_path}/labels").collect()}
+    assert got == {"a": (dt.date(2023, 1, 1), 1), "b": (dt.date(2023, 2, 1), 0), "c": (None, None)}
+    scored = spark.createDataFrame([("a", 0.25, 0)], "customer_id string, proba_lr double, pred_lr int")
+    scored.write.parquet(f"{tmp_path}/scored/score_20250101_120000.parquet")
+    (tmp_path / "scored/score_20250201_120000.csv").write_text("customer_id,proba_lr,pred_lr\nb,1,1\n")
+    rows = {r["customer_id"]: (r["batch_ts"].month, r["proba_lr"]) for r in read_scored(spark, f"{tmp_path}/scored/*").collect()}
+    assert rows == {"a": (1, 0.25), "b": (2, 1.0)}
+    (tmp_path / "t.txt").write_text("x\n1\n")
+    assert read_any(spark, f"{tmp_path}/t.txt").first()["x"] == 1
+
+
+def test_boosting_waits_for_a_late_gain(spark):
+    """The number of trees is the best before 50 without a gain, not the first small step."""
+    import numpy as np
+
+    from pyspark.ml.linalg import Vectors
+
+    from creditmart.operators import modeling as L
+    draw = np.random.default_rng(3)
+    x = draw.normal(size=(1200, 3))
+    y = (x[:, 0] * x[:, 1] + draw.normal(size=1200) > 0).astype(float)
+    rows = spark.createDataFrame([(Vectors.dense(a), float(b)) for a, b in zip(x, y)], ["features", "label"]).repartition(1)
+    parts = rows.limit(800), rows.subtract(rows.limit(800))
+    trees = L.best_trees(*parts, max_trees=24, patience=4, first=8)
+    losses = L._boosting(maxIter=24, **K.BOOSTING).fit(parts[0]).evaluateEachIteration(parts[1])
+    best = since = 0
+    for i, loss in enumerate(losses):
+        best = i if loss < losses[best] else best
+        if i - best >= 4:
+            break
+    assert trees == best + 1
+
+
+def test_rolling_training_compares_runs(mart, tmp_path):
+    md = mart[0].all_months("gold/model_dataset").withColumn("label", F.col("label").cast("int"))
+    rows = jobs.train_rolling(md, str(tmp_path), "2023-07-01", "2023-08-01", models=("lr",)).collect()
+    assert sorted((str(r["run_month"]), r["model"]) for r in rows) == [("2023-07-01", "lr"), ("2023-08-01", "lr")]
