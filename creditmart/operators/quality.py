@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from creditmart import constants as K
 from creditmart.functions.cleaning import loan_count
 from creditmart.functions.features import loan_list_text
 from creditmart.operators.keys import coverage, covered_categories
-from creditmart.operators.profile import count_by, duplicate_keys, length_profile, not_two_decimals
+from creditmart.operators.profile import count_by, length_profile, not_two_decimals
 from creditmart.operators.projection import outside, seeded_sample, top_rows
 
 
@@ -31,64 +31,104 @@ def loan_count_mismatches(df: DataFrame, rule: str = "commas") -> DataFrame:
     return df.withColumn("recount", recount.cast("int")).where(F.col("recount") != F.col("num_of_loan"))
 
 
-def _line(check: str, value: Column, column: str | None = None) -> Column:
-    return F.struct(F.lit(check).alias("check"), F.lit(column).cast("string").alias("column_name"),
-                    value.cast("double").alias("value"))
+# How the parts of a figure are put together: a total, a ratio of two totals, or an extreme.
+_TOTAL, _RATIO, _MIN, _MAX = "total", "ratio", "min", "max"
+_PART = "struct<check:string,month:string,column_name:string,kind:string,a:double,b:double>"
+
+
+def _part(check: str, kind: str, a: Column, b: Column | None = None, column: Column | str | None = None,
+          month: Column | None = None) -> Column:
+    name = column if isinstance(column, Column) else F.lit(column)
+    return F.struct(
+        F.lit(check).alias("check"), (F.lit(None) if month is None else month).cast("string").alias("month"),
+        name.cast("string").alias("column_name"), F.lit(kind).alias("kind"), a.cast("double").alias("a"),
+        (F.lit(None) if b is None else b).cast("double").alias("b"))
+
+
+def _combined(groups: DataFrame, parts: Sequence[Column], always: Sequence[Column], places: int | None = None) -> DataFrame:
+    """Figures (check, month, column_name, value) from the few group rows of one aggregation.
+
+    Each group row contributes its parts; those of one figure are added up. ``always`` are parts
+    without data, so that overall figures exist for an empty table too.
+    """
+    seed = groups.sparkSession.range(1).select(F.inline(F.array(*always).cast(f"array<{_PART}>")))
+    rows = groups.select(F.inline(F.array(*parts).cast(f"array<{_PART}>"))).unionByName(seed)
+    totals = rows.groupBy("check", "month", "column_name", "kind").agg(
+        F.sum("a").alias("a"), F.sum("b").alias("b"), F.min("a").alias("least"), F.max("a").alias("most"))
+    ratio = F.try_divide(F.col("a"), F.col("b"))
+    value = (F.when(F.col("kind") == _TOTAL, F.col("a")).when(F.col("kind") == _MIN, F.col("least"))
+             .when(F.col("kind") == _MAX, F.col("most")).otherwise(ratio if places is None else F.round(ratio, places)))
+    return totals.select("check", "month", "column_name", value.alias("value"))
+
+
+def _repeats(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Adds ``_nth``, the place of a row among those of its key; a second one means a repeated key."""
+    return df.withColumn("_nth", F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(0))))
+
+
+def _no_data(parts: Sequence[tuple]) -> list[Column]:
+    """The overall parts with nothing in them."""
+    return [_part(check, kind, F.lit(0 if kind == _TOTAL else None), None, column) for check, kind, column in parts]
 
 
 def financials_suite(df: DataFrame, month: str = "ds_token", rule: str = "commas") -> DataFrame:
     """The full check list over silver financials.
 
     ``rule='commas'`` is the current suite, ``rule='parsed'`` the older one, which recounts the
-    loan list by names and also expects no early payments. Per-month figures, overall figures,
-    duplicate groups and category counts come from one aggregation each.
+    loan list by names and also expects no early payments. One aggregation by month and credit mix
+    reads the data once; monthly, overall and category figures are put together from its few rows.
     """
     have = set(df.columns)
-    expected = [c for c in K.FINANCIAL_COLUMNS if c not in have]
-
-    def percent(test: Column) -> Column:
-        return F.avg(F.when(test, 1.0).otherwise(0.0)) * 100
-
-    null_cols = [c for c in K.NULL_RATE_COLUMNS if c in have]
-    monthly = df.groupBy(month).agg(
-        F.count(F.lit(1)).alias("rows"), *[percent(F.col(c).isNull()).alias(f"null_{c}") for c in null_cols])
-    monthly = monthly.select(F.col(month).cast("string").alias("month"), F.inline(F.array(
-        _line("rows", F.col("rows")),
-        *[_line("null_percent", F.col(f"null_{c}"), c) for c in null_cols])))
-
-    figures: list[tuple[str, str | None, Column]] = [("total_rows", None, F.count(F.lit(1)))]
+    missing = [c for c in K.FINANCIAL_COLUMNS if c not in have]
+    figures: dict[str, Column] = {"rows": F.count(F.lit(1)), "repeated": F.count_if(F.col("_nth") == 2)}
+    overall: list[tuple[str, str, str | None, str, str | None]] = [  # check, kind, column, a, b
+        ("total_rows", _TOTAL, None, "rows", None), ("duplicate_groups", _TOTAL, None, "repeated", None)]
+
+    def add(check: str, kind: str, column: str | None, a: Column, b: Column | None = None) -> None:
+        name = f"f{len(figures)}"
+        figures[name] = a
+        if b is not None:
+            figures[f"{name}b"] = b
+        overall.append((check, kind, column, name, None if b is None else f"{name}b"))
+
+    def share(check: str, column: str, test: Column, times: int = 1) -> None:
+        add(check, _RATIO, column, F.count_if(test) * times, F.count(F.lit(1)))
+
+    nulls = {c: f"null_{c}" for c in K.NULL_RATE_COLUMNS if c in have}
+    figures.update({name: F.count_if(F.col(c).isNull()) for c, name in nulls.items()})
     for c, (low, high) in K.VALUE_RANGES.items():
         if c in have:
-            figures += [("min", c, F.min(c)), ("max", c, F.max(c)), ("mean", c, F.avg(c)),
-                        ("out_of_range_rows", c, F.count_if((F.col(c) < low) | (F.col(c) > high)))]
-    figures += [("not_two_decimals_share", c, F.avg(F.when(not_two_decimals(c), 1.0).otherwise(0.0)))
-                for c in K.TWO_DP_COLUMNS if c in have]
+            add("min", _MIN, c, F.min(c))
+            add("max", _MAX, c, F.max(c))
+            add("mean", _RATIO, c, F.sum(F.col(c).cast("double")), F.count(c))
+            add("out_of_range_rows", _TOTAL, c, F.count_if((F.col(c) < low) | (F.col(c) > high)))
+    for c in K.TWO_DP_COLUMNS:
+        if c in have:
+            share("not_two_decimals_share", c, not_two_decimals(c))
     signed = K.NON_NEGATIVE_COLUMNS + (() if rule == "commas" else (K.EARLY_PAYMENT_COLUMN,))
-    figures += [("negative_percent", c, percent(F.col(c) < 0)) for c in signed if c in have]
+    for c in signed:
+        if c in have:
+            share("negative_percent", c, F.col(c) < 0, 100)
     if rule == "commas" and K.EARLY_PAYMENT_COLUMN in have:
-        figures.append(("early_payment_percent", K.EARLY_PAYMENT_COLUMN, percent(F.col(K.EARLY_PAYMENT_COLUMN) < 0)))
+        share("early_payment_percent", K.EARLY_PAYMENT_COLUMN, F.col(K.EARLY_PAYMENT_COLUMN) < 0, 100)
     if "payment_behaviour" in have:
-        figures.append(("junk_token_rows", "payment_behaviour",
-                        F.count_if(F.col("payment_behaviour") == K.JUNK_BEHAVIOUR)))
+        add("junk_token_rows", _TOTAL, "payment_behaviour", F.count_if(F.col("payment_behaviour") == K.JUNK_BEHAVIOUR))
     if {"type_of_loan", "num_of_loan"} <= have:
         recount = loan_count("type_of_loan") if rule == "commas" else parsed_loan_count()
-        figures.append(("loan_count_mismatch_rows", "num_of_loan", F.count_if(recount != F.col("num_of_loan"))))
-    overall = df.agg(*[value.alias(f"f{i}") for i, (_, _, value) in enumerate(figures)])
-    overall = overall.select(F.lit(None).cast("string").alias("month"), F.inline(F.array(
-        *[_line(check, F.col(f"f{i}"), column) for i, (check, column, _) in enumerate(figures)],
-        *[_line("missing_column", F.lit(1), c) for c in expected])))
-
-    duplicates = duplicate_keys(df, ["customer_id", "snapshot_date", month]).agg(F.count(F.lit(1)).alias("n"))
-    duplicates = duplicates.select(F.lit(None).cast("string").alias("month"), F.inline(F.array(
-        _line("duplicate_groups", F.col("n")))))
-
-    result = monthly.unionByName(overall).unionByName(duplicates)
-    if "credit_mix" in have:
-        mix = count_by(df, ["credit_mix"]).select(
-            F.lit(None).cast("string").alias("month"), F.lit("credit_mix_rows").alias("check"),
-            F.col("credit_mix").alias("column_name"), F.col("n_rows").cast("double").alias("value"))
-        result = result.unionByName(mix)
-    return result.select("check", "month", "column_name", "value")
+        add("loan_count_mismatch_rows", _TOTAL, "num_of_loan", F.count_if(recount != F.col("num_of_loan")))
+
+    mix = ["credit_mix"] if "credit_mix" in have else []
+    groups = _repeats(df, ["customer_id", "snapshot_date", month]).groupBy(F.col(month).alias("_month"), *mix).agg(
+        *[value.alias(name) for name, value in figures.items()])
+    at = F.coalesce(F.col("_month").cast("string"), F.lit("null"))
+    parts = [_part("rows", _TOTAL, F.col("rows"), month=at)]
+    parts += [_part("null_percent", _RATIO, F.col(name) * 100, F.col("rows"), c, at) for c, name in nulls.items()]
+    parts += [_part(check, kind, F.col(a), None if b is None else F.col(b), column) for check, kind, column, a, b in overall]
+    parts += [_part("credit_mix_rows", _TOTAL, F.col("rows"), column=F.col("credit_mix")) for _ in mix]
+    always = _no_data([(check, kind, column) for check, kind, column, _, _ in overall])
+    always += [_part("missing_column", _TOTAL, F.lit(1), column=c) for c in missing]
+    result = _combined(groups, parts, always)
+    return result.withColumn("month", F.nullif(F.col("month"), F.lit("null"))).select("check", "month", "column_name", "value")
 
 
 def out_of_range_rows(df: DataFrame, column: str = "interest_rate") -> DataFrame:
@@ -99,31 +139,25 @@ def out_of_range_rows(df: DataFrame, column: str = "interest_rate") -> DataFrame
 # ---- label store ------------------------------------------------------------------------
 
 def label_store_suite(labels: DataFrame) -> DataFrame:
-    """Duplicate and non-binary labels, class balance, rows and rate per month, definitions."""
-    month = F.col("snapshot_date").cast("string")
-    per_month = labels.groupBy(month.alias("month")).agg(
-        F.count(F.lit(1)).alias("n"), F.round(F.avg("label") * 100, 2).alias("rate"))
-    per_month = per_month.select("month", F.inline(F.array(
-        _line("rows", F.col("n")), _line("positive_percent", F.col("rate")))))
-
-    def overall(frame: DataFrame, *lines: Column) -> DataFrame:
-        return frame.select(F.lit(None).cast("string").alias("month"), F.inline(F.array(*lines)))
-
-    repeated = overall(
-        duplicate_keys(labels, ["loan_id", "snapshot_date", "label_def"]).agg(F.count(F.lit(1)).alias("n")),
-        _line("duplicate_labels", F.col("n")))
-    sums = overall(
-        labels.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("label") == 0).alias("zero"),
-                   F.count_if(F.col("label") == 1).alias("one"),
-                   F.count_if(~F.coalesce(F.col("label").isin(0, 1), F.lit(False))).alias("bad")),
-        _line("non_binary_rows", F.col("bad")),
-        _line("class_percent", F.round(F.try_divide(F.col("zero"), F.col("n")) * 100, 2), "0"),
-        _line("class_percent", F.round(F.try_divide(F.col("one"), F.col("n")) * 100, 2), "1"))
-    definitions = count_by(labels, ["label_def"]).select(
-        F.lit(None).cast("string").alias("month"), F.lit("definition_rows").alias("check"),
-        F.col("label_def").alias("column_name"), F.col("n_rows").cast("double").alias("value"))
-    parts = per_month.unionByName(repeated).unionByName(sums).unionByName(definitions)
-    return parts.select("check", "month", "column_name", "value")
+    """Duplicate and non-binary labels, class balance, rows and rate per month, definitions.
+
+    One aggregation by month and definition; all figures are put together from its few rows.
+    """
+    label = F.col("label")
+    groups = _repeats(labels, ["loan_id", "snapshot_date", "label_def"]).groupBy("snapshot_date", "label_def").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("_nth") == 2).alias("repeated"), F.sum(label).alias("sum"),
+        F.count(label).alias("known"), F.count_if(label == 0).alias("zero"), F.count_if(label == 1).alias("one"),
+        F.count_if(~F.coalesce(label.isin(0, 1), F.lit(False))).alias("bad"))
+    n, month = F.col("n"), F.coalesce(F.col("snapshot_date").cast("string"), F.lit("null"))
+    parts = [
+        _part("rows", _TOTAL, n, month=month), _part("positive_percent", _RATIO, F.col("sum") * 100, F.col("known"), month=month),
+        _part("duplicate_labels", _TOTAL, F.col("repeated")), _part("non_binary_rows", _TOTAL, F.col("bad")),
+        _part("class_percent", _RATIO, F.col("zero") * 100, n, "0"), _part("class_percent", _RATIO, F.col("one") * 100, n, "1"),
+        _part("definition_rows", _TOTAL, n, column=F.col("label_def"))]
+    always = _no_data([("duplicate_labels", _TOTAL, None), ("non_binary_rows", _TOTAL, None),
+                       ("class_percent", _RATIO, "0"), ("class_percent", _RATIO, "1")])
+    result = _combined(groups, parts, always, places=2)
+    return result.withColumn("month", F.nullif(F.col("month"), F.lit("null"))).select("check", "month", "column_name", "value")
 
 
 def labels_of_mob(labels: DataFrame, mob: int = 0) -> DataFrame:
