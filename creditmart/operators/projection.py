@@ -143,6 +143,6 @@ def top_rows(df: DataFrame, order: Sequence[Column], rows: int = K.PREVIEW_ROWS)
 
 
 def seeded_sample(df: DataFrame, keys: Sequence[str], rows: int = K.SAMPLE_POSITIVES, seed: int = 42) -> DataFrame:
-    """A repeatable sample of at most ``rows`` rows: the smallest seeded key hashes."""
-    draw = F.xxhash64(F.lit(seed), *keys)
+    """A repeatable sample of at most ``rows`` rows: the smallest MD5 of seed and key."""
+    draw = F.md5(F.concat_ws("|", F.lit(seed), *[F.col(k).cast("string") for k in keys]))
     return df.orderBy(draw, *keys).limit(rows)

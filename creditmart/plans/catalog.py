@@ -28,9 +28,11 @@ from creditmart.operators import projection as J
 from creditmart.operators import quality as Q
 from creditmart.operators import splits as S
 from creditmart.plans import layers
+from creditmart.plans.jobs import with_clickstream
 from creditmart.plans.star import star_input, table
 from creditmart.session import apply_settings, checkpoint_dir
 from creditmart.sources.readers import months_in
+from creditmart.sources.writers import remove_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -109,7 +111,9 @@ def scored_long(spark, folder):
 
 @query
 def loan_ageing(spark, folder):
-    return widen(loans(spark, folder))
+    """From text, as the raw file holds it."""
+    raw = star_input(spark, folder, "loan_daily")
+    return widen(layers.silver_loans(raw.select(*[F.col(c).cast("string").alias(c) for c in raw.columns])))
 
 
 @query
@@ -353,7 +357,7 @@ def month_key_join(spark, folder):
 
 @query
 def wide_base_join(spark, folder):
-    """Labels with the clickstream features of the same customer and date."""
+    """Days of a customer with the clickstream features of the same day."""
     clicks = layers.silver_clickstream(star_input(spark, folder, "clickstream"), [F.desc("fe_1"), F.desc("fe_3")])
     days = star_input(spark, folder, "clickstream").select(
         C.id_norm("Customer_ID").alias("customer_id"), F.col("snapshot_date").cast("date")).distinct()
@@ -362,6 +366,17 @@ def wide_base_join(spark, folder):
                         ["customer_id", "snapshot_date"], "left")
 
 
+@query
+def labels_with_clicks(spark, folder):
+    """Labels with the clickstream features of the same customer and month, the events dealt over the labels' months."""
+    month = F.add_months(F.lit("1995-01-01").cast("date"), (F.col("row_id") % 82).cast("int"))
+    raw = star_input(spark, folder, "clickstream").withColumns({
+        "snapshot_date": month.cast("string"), "snap_ym": F.date_format(month, "yyyy-MM")})
+    clicks = layers.silver_clickstream(raw, [F.desc("fe_1"), F.desc("fe_3")]).withColumnRenamed("customer_id", "Customer_ID")
+    rows = with_clickstream(label_rows(spark, folder), clicks)
+    return rows.select("loan_id", "Customer_ID", "snapshot_date", "label", "fe_1", "fe_2", "fe_3")
+
+
 def _keyed(spark, folder):
     """Label, financial and attribute rows with match keys."""
     base = J.rename_customer(label_rows(spark, folder))
@@ -799,7 +814,7 @@ def train_score_lr(spark, folder):
 @query
 def train_score_gbt(spark, folder):
     parts = _model_frame(spark, folder)
-    model = L.fit_boosted(parts.where("split = 'Train'"), parts.where("split = 'Valid'"), _features(), max_trees=6)
+    model = L.fit_boosted(parts.where("split = 'Train'"), parts.where("split = 'Valid'"), _features())
     return _graded(parts, {"xgb": model})
 
 
@@ -828,7 +843,10 @@ def ingest_available_now(spark, folder):
         raw.write.option("header", True).option("escape", '"').csv(f"{root}/raw/{target}")
     ingest_available(spark, root, f"{root}/raw", schemas, f"{root}/checkpoints", "2024-01-01")
     mart = Mart(spark, root)
-    return Q.layer_counts({t: mart.all_months(t) for t in (
+    counts = Q.layer_counts({t: mart.all_months(t) for t in (
         "bronze/loan_daily", "silver/financials", "silver/clickstream", "gold/label_store", "gold/model_dataset")})
+    rows = counts.collect()  # one row per table, taken before the scratch folder goes
+    remove_folder(spark, root)
+    return spark.createDataFrame(rows, counts.schema)
 
 

@@ -243,6 +243,12 @@ def train_rolling(df: DataFrame, out: str, first_run: str, last_run: str, mode:
     return compare_models(reduce(DataFrame.unionByName, grids), ["run_month"])
 
 
+def with_clickstream(labels: DataFrame, features: DataFrame) -> DataFrame:
+    """Labels with the clickstream features of the same customer and snapshot."""
+    keys = ["Customer_ID", "snapshot_date"]
+    return labels.join(features.select(*keys, *prefixed(features, "fe_")), keys, "left")
+
+
 def train_clickstream_model(labels: DataFrame, features: DataFrame, train_date: str, out: str,
                             draws: int = K.SEARCH_DRAWS, folds: int = K.SEARCH_FOLDS, parallelism: int = 4, scoring: str = "hard",
                             months: int = 12, oot_months: int = 2) -> DataFrame:
@@ -251,8 +257,7 @@ def train_clickstream_model(labels: DataFrame, features: DataFrame, train_date:
     Rows before the out-of-time span are split 80/20 within each label.
     """
     keys = ["Customer_ID", "snapshot_date"]
-    data = labels.join(features.select(*keys, *prefixed(features, "fe_")), keys, "left")
-    parts = training_split(data, train_date, train_test_months=months, oot_months=oot_months)
+    parts = training_split(with_clickstream(labels, features), train_date, train_test_months=months, oot_months=oot_months)
     inside = stratified_split(parts.where("split = 'train_test'"), ["loan_id", *keys])
     whole = inside.unionByName(parts.where("split = 'oot'").withColumn("part", F.lit("oot")))
     columns = prefixed(features, "fe_")

@@ -336,6 +336,11 @@ _add("wide_base_join", """select d.customer_id, d.snapshot_date, fe_1, fe_2, fe_
 from (select distinct Customer_ID as customer_id, cast(snapshot_date as date) as snapshot_date from clickstream) d
 left join silver_click using (customer_id, snapshot_date)""", "clickstream", "silver_click")
 
+_add("labels_with_clicks", """select loan_id, l.Customer_ID, l.snapshot_date, label, fe_1, fe_2, fe_3 from label_rows l
+left join (select *, cast(date '1995-01-01' + to_months(cast(row_id % 82 as int)) as date) as month from clickstream
+           qualify row_number() over (partition by Customer_ID, month order by ingest_dt desc nulls last, fe_1 desc, fe_3 desc) = 1) c
+  on c.Customer_ID = l.Customer_ID and c.month = l.snapshot_date""", "label_rows", "clickstream")
+
 
 def _overlap(keys: str) -> str:
     sides = {"label": "label_keys", "fin": "fin_keys", "att": "att_keys"}
@@ -573,3 +578,21 @@ _add("trend_joined", """select rates.*, auc_lr, auc_xgb, strftime(batch_ts, '%Y-
 from rates left join joined_aucs using (batch_ts)""", "rates", "joined_aucs")
 _add("primary_metrics", """select batch_ts, 'xgb' as primary_model, coalesce(auc_xgb, auc_lr) as auc,
 coalesce(pos_rate_xgb, pos_rate_lr) as rate from trend_rows""", "trend_rows")
+_add("positive_sample", """select * from label_rows where label = 1
+order by md5(concat_ws('|', 42, loan_id, snapshot_date, label_def)), loan_id, snapshot_date, label_def limit 10""", "label_rows")
+_STRAT_KEYS = "l_orderkey, l_linenumber, l_partkey, l_suppkey"
+_add("strat_split", f"""select {_STRAT_KEYS}, label,
+  case when row_number() over (partition by label order by h) <= floor(count(*) over (partition by label) * 0.8e0 + 1e-9)
+       then 'train' else 'test' end as part
+from (select *, substr(md5(concat_ws('|', 88, {_STRAT_KEYS})), 1, 15) as h from lines) a""", "lines")
+# Raw files through all layers: odd dates read day first there, so month and day change places.
+CTES["raw_fin_keys"] = (("financials",), """
+select distinct trim(Customer_ID) as c, case when snapshot_date like '%/%' then null else snapshot_date end as d,
+       case when snapshot_date like '%/%' then concat(split_part(snapshot_date, '/', 3), '-', lpad(split_part(snapshot_date, '/', 2), 2, '0'))
+            else substr(snapshot_date, 1, 7) end as ym from financials""")
+_add("ingest_available_now", """
+select 'bronze/loan_daily' as "table", count(*) as n_rows, 15 as n_columns from loan_daily
+union all select 'silver/financials', count(*), 23 from raw_fin_keys
+union all select 'silver/clickstream', count(distinct (Customer_ID, snapshot_date)), 8 from clickstream
+union all select 'gold/label_store', count(*), 6 from label_rows
+union all select 'gold/model_dataset', count(*), 60 from label_rows""", "loan_daily", "raw_fin_keys", "clickstream", "label_rows")

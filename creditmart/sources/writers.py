@@ -33,7 +33,8 @@ def _table_files(spark: SparkSession, path: str, schema: StructType, form: str)
     return found
 
 
-def _remove(spark: SparkSession, folder: str) -> None:
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder in whatever store it is."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
@@ -60,7 +61,7 @@ def write_months(df: DataFrame, path: str, by: Sequence[str] = ("snap_ym",), for
         meant = {f"{by[0]}={month}" for month in months}
         for folder in after.keys() - set(written):
             if not meant or meant & set(folder.split("/")):
-                _remove(spark, folder)
+                remove_folder(spark, folder)
     stored = 0
     if written:
         stored = spark.read.schema(df.schema).option("basePath", path).format(form).load(written).count()
