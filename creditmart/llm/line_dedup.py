@@ -6,6 +6,9 @@ place. Sketches merge, so they are built before the shuffle and a line that a th
 hold reaches its reducer as one small sketch per task. The sketch decides lines whose estimate is
 farther from the threshold than the sketch's error allows; those near it get an exact count of
 their distinct sites. Texts are shuffled once, to meet the places that go.
+
+Where lines meet the few candidates, both sides carry one of ``SALTS`` numbers and the candidates
+are repeated for each, so that a line that a third of all rows hold is spread over as many tasks.
 """
 
 from __future__ import annotations
@@ -17,16 +20,22 @@ from creditmart.llm.common import cut, free_name
 
 MIN_SITES = 10
 LG_K = 11
+SALTS = 32
 ERRORS = 4.0  # an estimate this many standard errors from the threshold is trusted
 
 
 def lines_of(docs: DataFrame, text: str, site: str, doc_id: str) -> DataFrame:
-    """(h, g, site, doc_id, print, at) of every line that is not blank; h and g hash the line."""
+    """(h, g, site, doc_id, print, at, salt) of every line that is not blank; h and g hash the line."""
     lines = docs.select(
         F.col(site).cast("string").alias("site"), F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("print"),
         F.posexplode(F.split(text, "\n")).alias("at", "line"))
     return lines.where(F.trim("line") != "").select(
-        F.xxhash64("line").alias("h"), F.xxhash64(F.lit(7), F.col("line")).alias("g"), "site", "doc_id", "print", "at")
+        F.xxhash64("line").alias("h"), F.xxhash64(F.lit(7), F.col("line")).alias("g"), "site", "doc_id", "print", "at",
+        F.pmod(F.xxhash64("doc_id", "print", "at"), F.lit(SALTS)).cast("int").alias("salt"))
+
+
+def _for_each_salt(candidates: DataFrame) -> DataFrame:
+    return candidates.select("*", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
 
 
 def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K, errors: float = ERRORS) -> DataFrame:
@@ -39,13 +48,14 @@ def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K,
         lines.groupBy("h", "g").agg(F.count("site").alias("n"), F.min(F.struct("doc_id", "print", "at")).alias("first"))
         .where(F.col("n") >= min_sites))
     often = cut(often.select("h", "g", "first"))
-    common = cut(lines.join(often.select("h", "g"), ["h", "g"], "left_semi").select("h", "g", "site"))
+    places = _for_each_salt(often.select("h", "g"))
+    common = cut(lines.join(places, ["h", "g", "salt"], "left_semi").select("h", "g", "site"))
     spread = common.where("site is not null").groupBy("h", "g").agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", lg_k)).alias("sites"))
     slack = max(1.0, errors * 1.04 / 2 ** (lg_k / 2) * min_sites)
     sure = spread.where(F.col("sites") >= min_sites + slack).select("h", "g", "sites")
     near = spread.where(F.abs(F.col("sites") - min_sites) < slack).select("h", "g")
     exact = (
-        common.join(near, ["h", "g"], "left_semi").where("site is not null").select("h", "g", "site").distinct()
+        common.where("site is not null").distinct().join(near, ["h", "g"], "left_semi")
         .groupBy("h", "g").agg(F.count(F.lit(1)).alias("sites")).where(F.col("sites") >= min_sites))
     found = sure.unionByName(exact)
     return found.join(often, ["h", "g"]).select("h", "g", F.col("sites").alias("n_sites"), "first")
@@ -67,7 +77,7 @@ def remove(
     lines = lines_of(docs, text, site, doc_id)
     found = cut(boilerplate(lines, min_sites, lg_k))
     places = (
-        lines.select("h", "g", "doc_id", "print", "at").join(found, ["h", "g"])
+        lines.select("h", "g", "doc_id", "print", "at", "salt").join(_for_each_salt(found), ["h", "g", "salt"])
         .where(~F.struct("doc_id", "print", "at").eqNullSafe(F.col("first")))
         .groupBy("doc_id", "print").agg(F.collect_set("at").alias("gone"))
         .select(F.col("doc_id").alias(f"{work}_id"), F.col("print").alias(f"{work}_print"), F.col("gone").alias(f"{work}_gone")))
