@@ -69,6 +69,13 @@ BEHAVIOUR_CLASSES = (
     ("irregular", ("MIN", "PART", "IRREG")),
     ("regular", ("REG", "ON TIME")),
 )
+LOAN_LIST_RULES = (
+    (r"\bAND\b", ","),
+    ("NOT SPECIFIED", ""),
+    (r"\s+", " "),
+    (r",\s*,", ","),
+    (r"(^\s*,)|(,\s*$)", ""),
+)
 LOAN_FLAGS = {
     "has_HOME": "HOME LOAN",
     "has_AUTO": "AUTO LOAN",

@@ -150,8 +150,7 @@ def one_hot(value: ColumnLike, vocabulary: Sequence[str], prefix: str) -> dict[s
 def loan_list_text(c: ColumnLike) -> Column:
     """Loan list in upper case with commas between names; one pass per rule, names untrimmed."""
     text = F.upper(F.coalesce(col(c).cast("string"), F.lit("")))
-    for pattern, put in ((r"\bAND\b", ","), ("NOT SPECIFIED", ""), (r"\s+", " "),
-                         (r",\s*,", ","), (r"(^\s*,)|(,\s*$)", "")):
+    for pattern, put in K.LOAN_LIST_RULES:
         text = F.regexp_replace(text, pattern, put)
     return text
 

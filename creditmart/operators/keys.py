@@ -16,10 +16,6 @@ from creditmart.functions.cleaning import id_key, id_norm
 from creditmart.functions.dates import month_key, month_text
 
 
-def with_id_norm(df: DataFrame, id_col: str = "customer_id") -> DataFrame:
-    return df.withColumn(id_col, id_norm(id_col))
-
-
 def with_match_keys(df: DataFrame, id_col: str = "customer_id", month: str | None = None) -> DataFrame:
     """Adds ``cid_key`` and ``ym_key``; a given month overrides the row's own."""
     ym = F.lit(month) if month else month_key(df.columns)

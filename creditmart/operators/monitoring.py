@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from creditmart.functions.dates import month_of
@@ -93,8 +93,7 @@ def primary_metrics(trend_rows: DataFrame, prefer: str | None = None, batch: str
 
 
 def enough_points(primary: DataFrame, least: int = 2) -> DataFrame:
-    """The lines, or no rows when either has fewer than ``least`` points."""
-    counts = primary.agg(
-        (F.least(F.count("auc"), F.count("rate")) >= least).alias("enough"))
-    return primary.where(counts.scalar())
-
+    """The lines, or no rows when either has fewer than ``least`` points; a window over the few batches."""
+    every = Window.partitionBy(F.lit(0))
+    enough = F.least(F.count("auc").over(every), F.count("rate").over(every)) >= least
+    return primary.withColumn("_enough", enough).where("_enough").drop("_enough")

@@ -11,15 +11,10 @@ from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
 
 from creditmart import constants as K
 from creditmart.functions.dates import month_of
-from creditmart.operators.ranges import RANGE, range_cuts, with_ranges
-
-
-def numeric_columns(df: DataFrame, skip: Sequence[str] = ("label",)) -> list[str]:
-    return [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType) and f.name not in skip]
+from creditmart.operators.ranges import RANGE, range_cuts, running_totals, with_ranges
 
 
 def long_form(wide: DataFrame, lines: Sequence[Mapping[str, Column]], keep: Sequence[str] = ()) -> DataFrame:
@@ -65,10 +60,6 @@ def distinct_keys(df: DataFrame, keys: Sequence[str], approximate: bool = False)
     return df.select(*keys).distinct().agg(F.count(F.lit(1)).alias("n_keys"))
 
 
-def snapshot_dates(df: DataFrame, column: str = "snapshot_date") -> DataFrame:
-    return df.select(column).distinct().orderBy(column)
-
-
 def rows_per_snapshot(df: DataFrame, column: str = "snapshot_date") -> DataFrame:
     return count_by(df, [column]).orderBy(column)
 
@@ -157,7 +148,7 @@ def exact_percentiles(df: DataFrame, columns: Sequence[str], shares: Sequence[fl
 
     Selection instead of a full sort: rows are counted per value range of each column, the
     ranges that hold the wanted ranks are found from those few counts, and only the rows of
-    these ranges are ranked.
+    these ranges are ranked, range by range again.
     """
     numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
     ranged = long_form(with_ranges(numbers, range_cuts(numbers, columns), suffix="_"), [
@@ -185,10 +176,9 @@ def exact_percentiles(df: DataFrame, columns: Sequence[str], shares: Sequence[fl
         ranged.join(F.broadcast(wanted.select(*seek, RANGE)), ["column", RANGE])
         .groupBy(*seek, "value").agg(F.count(F.lit(1)).alias("_times"))
     )
-    inside = Window.partitionBy("column", "share", "_place").orderBy("value").rowsBetween(
-        Window.unboundedPreceding, 0)
+    # Ranges of ranges: the distinct values of a wanted range are cut once more, so no task ranks them all.
     upto = F.col("_before") + F.col("_upto")
-    found = values.withColumn("_upto", F.sum("_times").over(inside)).where(
+    found = running_totals(values, ["column", "share", "_place"], "value", {"_upto": "_times"}).where(
         (F.col("_place") >= upto - F.col("_times")) & (F.col("_place") < upto))
     low, high = F.min_by("value", "_place"), F.max_by("value", "_place")
     part = F.max(F.col("_rank") - F.floor("_rank"))
@@ -237,19 +227,23 @@ def variance_rank(df: DataFrame, columns: Sequence[str], top: int = K.VARIANCE_T
 def _pair_corr(a: str, b: str) -> Column:
     """Pearson correlation over the rows that have both values, null where one is constant.
 
-    Built from both regression slopes, which are null for a constant column; ``corr`` divides by
-    zero there.
+    Built from a covariance and the variances over the same rows; ``corr`` divides by zero for a
+    constant column.
     """
     x, y = F.col(a).cast("double"), F.col(b).cast("double")
-    up, across = F.regr_slope(y, x), F.regr_slope(x, y)
-    return F.signum(up) * F.sqrt(up * across)
+    spread = F.var_pop(F.when(y.isNotNull(), x)) * F.var_pop(F.when(x.isNotNull(), y))
+    return F.try_divide(F.covar_pop(x, y), F.sqrt(spread))
+
+
+def _self_corr(c: str) -> Column:
+    return F.when(F.var_pop(F.col(c).cast("double")) > 0, 1.0)
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column_a, column_b, corr) for every ordered pair, from one aggregation."""
     pairs = list(combinations(columns, 2))
     wide = df.agg(*[_pair_corr(a, b).alias(f"{a}|{b}") for a, b in pairs],
-                  *[_pair_corr(c, c).alias(f"{c}|{c}") for c in columns])
+                  *[_self_corr(c).alias(f"{c}|{c}") for c in columns])
     cells = [(a, b, f"{a}|{b}") for a, b in pairs] + [(b, a, f"{a}|{b}") for a, b in pairs]
     cells += [(c, c, f"{c}|{c}") for c in columns]
     return long_form(wide, [

@@ -83,10 +83,6 @@ def trim_strings(df: DataFrame) -> DataFrame:
     ])
 
 
-def drop_present(df: DataFrame, names: Iterable[str]) -> DataFrame:
-    return df.drop(*names)
-
-
 def with_lineage(df: DataFrame, run_date: str, month: Column, source_file: Column) -> DataFrame:
     """Load date, month and file name. The load date is given, so that reruns repeat."""
     return df.withColumns({

@@ -820,9 +820,8 @@ def train_score_gbt(spark, folder):
 
 @query
 def search(spark, folder):
-    space = {"maxIter": (2, 3), "maxDepth": (2, 3)}
     parts = _model_frame(spark, folder)
-    _, tuned = L.search(parts.where("split = 'Train'"), NUMBERS, draws=2, folds=2, scoring="hard", space=space)
+    _, tuned = L.search(parts.where("split = 'Train'"), NUMBERS, parallelism=8, scoring="hard")
     rows = [(i, float(score)) for i, score in enumerate(tuned.avgMetrics)]  # one row per draw
     return spark.createDataFrame(rows, "draw int, mean_score double")
 

@@ -124,3 +124,14 @@ def test_looked_up_is_lazy_and_null_safe(spark):
     assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == before
     assert {r["n"]: r["v"] for r in out.collect()} == {1: 0.5, 2: None, 3: None}
     assert {r["v"] for r in rows.withColumn("v", looked_up(side.limit(0), ["k"], "v")).collect()} == {None}
+
+
+def test_as_of_drops_duplicates_below_the_days_found(spark):
+    """The wide history meets the found days before duplicates of a day are dropped."""
+    from creditmart.operators.asof import as_of_join
+    base = spark.createDataFrame([("a", "2023-03-01")], "customer_id string, label_date string")
+    history = spark.createDataFrame([("a", "2023-02-01", 1), ("a", "2023-02-01", 1), ("a", "2022-01-01", 2)], "customer_id string, feat_date string, x int")
+    out = as_of_join(base, [history])
+    assert [r["x"] for r in out.collect()] == [1]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Window [row_number()") < plan.index("LeftSemi")
