@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from creditmart import constants as K
 from creditmart.functions.dates import month_of
-from creditmart.operators.ranges import RANGE, range_cuts, running_totals, with_ranges
+from creditmart.operators.ranges import RANGE, known_cuts, with_ranges
 
 
 def long_form(wide: DataFrame, lines: Sequence[Mapping[str, Column]], keep: Sequence[str] = ()) -> DataFrame:
@@ -148,10 +148,10 @@ def exact_percentiles(df: DataFrame, columns: Sequence[str], shares: Sequence[fl
 
     Selection instead of a full sort: rows are counted per value range of each column, the
     ranges that hold the wanted ranks are found from those few counts, and only the rows of
-    these ranges are ranked, range by range again.
+    these ranges are ranked.
     """
     numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    ranged = long_form(with_ranges(numbers, range_cuts(numbers, columns), suffix="_"), [
+    ranged = long_form(with_ranges(numbers, known_cuts(numbers, columns), suffix="_"), [
         {"column": F.lit(c), "value": F.col(c), RANGE: F.col(f"{RANGE}_{c}")} for c in columns
     ]).where("value is not null")
 
@@ -176,9 +176,10 @@ def exact_percentiles(df: DataFrame, columns: Sequence[str], shares: Sequence[fl
         ranged.join(F.broadcast(wanted.select(*seek, RANGE)), ["column", RANGE])
         .groupBy(*seek, "value").agg(F.count(F.lit(1)).alias("_times"))
     )
-    # Ranges of ranges: the distinct values of a wanted range are cut once more, so no task ranks them all.
+    inside = Window.partitionBy("column", "share", "_place").orderBy("value").rowsBetween(
+        Window.unboundedPreceding, 0)
     upto = F.col("_before") + F.col("_upto")
-    found = running_totals(values, ["column", "share", "_place"], "value", {"_upto": "_times"}).where(
+    found = values.withColumn("_upto", F.sum("_times").over(inside)).where(
         (F.col("_place") >= upto - F.col("_times")) & (F.col("_place") < upto))
     low, high = F.min_by("value", "_place"), F.max_by("value", "_place")
     part = F.max(F.col("_rank") - F.floor("_rank"))

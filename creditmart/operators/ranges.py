@@ -7,8 +7,10 @@ only how even the tasks are, never the result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,24 +37,40 @@ def range_cuts(df: DataFrame, columns: Sequence[str], ranges: int | None = None)
     return {c: F.array_distinct(row.getField(c)) for c in columns}
 
 
+def known_cuts(df: DataFrame, columns: Sequence[str]) -> dict[str, list[float]]:
+    """The cut values themselves, from one pass over ``df``; a fixed number per column.
+
+    For frames with one row per value to be ranked: finding a row's range among known values is much
+    cheaper than among those of a subquery.
+    """
+    cuts = range_cuts(df, columns)
+    row = df.sparkSession.range(1).select(*[at.alias(column) for column, at in cuts.items()]).first()
+    return {c: sorted({cut for cut in row[c] or [] if math.isfinite(cut)}) for c in columns}
+
+
 def with_ranges(df: DataFrame, cuts: Mapping[str, Cuts], suffix: str | None = None) -> DataFrame:
     """Adds the range number of each column, null for null values.
 
     One column gives ``_range``; several give ``_range<suffix><column>``.
     """
+    names = {column: RANGE if suffix is None else f"{RANGE}{suffix}{column}" for column in cuts}
+    fixed = [column for column, at in cuts.items() if not isinstance(at, Column) and at]
+    if fixed:
+        df = Bucketizer(
+            splitsArray=[[-math.inf, *cuts[column], math.inf] for column in fixed], inputCols=fixed,
+            outputCols=[names[column] for column in fixed], handleInvalid="keep").transform(df)
+    df = df.withColumns({names[column]: F.lit(0.0) for column, at in cuts.items() if not isinstance(at, Column) and not at})
+    lazy = [column for column, at in cuts.items() if isinstance(at, Column)]
     # A subquery may not stand inside a lambda, so the cut values become columns first.
-    ends = {column: f"_ends_{column}" for column in cuts}
-    df = df.withColumns({
-        ends[column]: at if isinstance(at, Column) else F.array(*[F.lit(float(c)) for c in at]).cast("array<double>")
-        for column, at in cuts.items()})
+    ends = {column: f"_ends_{column}" for column in lazy}
+    df = df.withColumns({ends[column]: cuts[column] for column in lazy})
 
     def number(column: str) -> Column:
         value = F.col(column)
         below = F.coalesce(F.size(F.filter(ends[column], lambda end: end < value)), F.lit(0))
         return F.when(value.isNotNull(), F.greatest(below, F.lit(0)))
 
-    return df.withColumns({
-        RANGE if suffix is None else f"{RANGE}{suffix}{column}": number(column) for column in cuts}).drop(*ends.values())
+    return df.withColumns({names[column]: number(column) for column in lazy}).drop(*ends.values())
 
 
 def running_totals(
