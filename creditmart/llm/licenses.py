@@ -49,7 +49,7 @@ SENTENCES = (
     ("0bsd", "permission to use", r"permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted(?! provided)"),
     ("bsd", "redistribution and use", r"redistribution and use in source and binary forms with or without modification are permitted"),
     ("bsd-3-clause", "endorse or promote", r"neither the name of (?:the )?\w+(?: \w+){0,8} nor the names of its contributors may be used to endorse or promote products"),
-    ("bsd-4-clause", "advertising materials", r"all advertising materials mentioning features or use of this software must display the following acknowledg"),
+    ("bsd-4-clause", "advertising materials", r"all advertising materials mentioning features or use of this software must display the following acknowledge?ment"),
     ("apache-2.0", "apache license", r"licensed under the apache license" + VERSION + r" 2(?: 0)?"),
     ("apache-2.0", "except in compliance", r"you may not use this file except in compliance with the license"),
     ("apache-2.0", "apache org", r"(?:http|https) www apache org licenses license 2 0"),
