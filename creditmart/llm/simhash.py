@@ -118,6 +118,13 @@ def _signed(number: int) -> int:
     return number - (1 << 64) if number >> 63 else number
 
 
+def _groups(rows: DataFrame, most_list: int = LIST) -> DataFrame:
+    """(f, component) of every distinct fingerprint ``f``; component is the smallest one reachable by links."""
+    entries = cut(rows.select("f").distinct())
+    found = components(_links(entries, most_list)).select(F.col("node").alias("f"), "component")
+    return entries.join(found, "f", "left").select("f", F.coalesce("component", "f").alias("component"))
+
+
 def near_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 3, most_list: int = LIST,
 ) -> DataFrame:
@@ -145,10 +152,22 @@ def hex16(fingerprint: str = "fingerprint") -> Column:
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 3) -> DataFrame:
     """The documents without all but the smallest id of each group of near-duplicates.
 
-    Of rows that repeat an id one stays. Rows without an id cannot be told apart: they stay.
+    A row is known by its id and its text. Rows that share an id but belong to different groups are
+    chosen in each group apart; of rows of one group that share the smallest id, the one with the
+    smallest (fingerprint, hash of the text) stays, so no result depends on the order of tasks. Rows
+    without an id have no place in that order: of each group's one stays, besides the one with an id.
     """
-    number = free_name(docs, "_kept_id")
-    kept = near_duplicates(docs.where(F.col(doc_id).isNotNull()), doc_id, text, words)
-    kept = kept.where("doc_id = component_id").select(F.col("doc_id").alias(number)).distinct()
-    some = docs.join(kept, F.col(doc_id) == F.col(number), "left_semi").dropDuplicates([doc_id])
-    return some.unionByName(docs.where(F.col(doc_id).isNull()))
+    known, absent, printed = (free_name(docs, name) for name in ("_kept_id", "_kept_absent", "_kept_print"))
+    marked = docs.select(
+        "*", F.coalesce(F.col(doc_id).cast("string"), F.lit("")).alias(known), F.col(doc_id).isNull().alias(absent),
+        F.xxhash64(text).alias(printed))
+    rows = with_fingerprint(
+        docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("print")), words=words)
+    rows = rows.select("doc_id", F.col("fingerprint").alias("f"), "print")
+    least = cut(rows.groupBy("f", F.col("doc_id").isNull().alias("absent")).agg(F.min(F.struct("doc_id", "f", "print")).alias("least")))
+    kept = (
+        least.join(_groups(least), "f").groupBy("component", "absent").agg(F.min("least").alias("least"))
+        .select(F.coalesce(F.col("least.doc_id").cast("string"), F.lit("")).alias(known), F.col("absent").alias(absent),
+                F.col("least.print").alias(printed)))
+    keys = [known, absent, printed]
+    return marked.join(kept, keys, "left_semi").dropDuplicates(keys).select(*docs.columns)

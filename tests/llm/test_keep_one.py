@@ -1,0 +1,38 @@
+"""Which rows stay when ids repeat or are absent."""
+
+from helpers import documents
+
+from creditmart.llm import simhash
+
+COPY, OTHER, THIRD = "a b c d e f", "q r s t u v", "k l m n o p"
+
+
+def kept(docs):
+    return sorted(((r.doc_id, r.text) for r in simhash.keep_one(docs).collect()), key=str)
+
+
+def test_rows_that_share_an_id_are_told_apart(spark):
+    rows = [(3, COPY), (7, COPY.upper()), (7, OTHER), (8, OTHER), (7, THIRD)]
+    expected = [(3, COPY), (7, THIRD), (7, OTHER)]
+    for order in (rows, rows[::-1]):
+        for parts in (1, 5):
+            assert kept(documents(spark, order).repartition(parts)) == sorted(expected, key=str)
+
+
+def test_rows_of_one_group_that_share_the_smallest_id_fold(spark):
+    rows = [(3, COPY), (3, COPY.upper()), (3, COPY), (4, COPY)]
+    first, second = kept(documents(spark, rows).repartition(1)), kept(documents(spark, rows[::-1]).repartition(4))
+    assert first == second and len(first) == 1 and first[0][0] == 3
+
+
+def test_copies_without_an_id_fold(spark):
+    rows = [(None, COPY), (None, COPY), (None, COPY.upper()), (None, OTHER), (None, None), (None, ""), (5, OTHER)]
+    got = kept(documents(spark, rows))
+    assert len(got) == 4 and sum(d is None for d, _ in got) == 3 and (5, OTHER) in got
+    assert sorted(str(t or "").lower() for d, t in got if d is None) == ["", COPY, OTHER]
+
+
+def test_other_columns_and_types_stay(spark):
+    docs = documents(spark, [(1, COPY), (2, COPY), (None, COPY)]).selectExpr("cast(doc_id as string) doc_id", "text", "lang as _kept_id")
+    out = simhash.keep_one(docs)
+    assert out.dtypes == docs.dtypes and sorted(str(r.doc_id) for r in out.collect()) == ["1", "None"]
