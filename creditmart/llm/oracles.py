@@ -73,3 +73,57 @@ verdict as (
 select p.page_id, p.fetched_on::date as fetched_on, v.url is not null as blocked, coalesce(v.lists, '') as lists, v.best[2] as rule
 from parsed p left join verdict v on p.url = v.url and p.fetched_on = v.fetched_on
 """
+
+ORACLES["op11_hard_negatives"] = """
+with good as (
+  select distinct vec_id::bigint as vec_id, (case when vec_id % 7 = 0 then (label + 1) % 10 else label end)::bigint as label,
+    [floor(256 * x::double)::bigint for x in embedding] as v
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+    and list_bool_and([x is not null and isfinite(x) for x in embedding])),
+scores as (
+  select a.vec_id as anchor_id, b.vec_id as other, a.label = b.label as same, list_dot_product(a.v, b.v)::bigint as score
+  from good a join good b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id),
+near as (
+  select anchor_id, other as positive_id, score as positive_score from scores where same
+  qualify row_number() over (partition by anchor_id order by score desc, other) <= 5)
+select n.anchor_id, positive_id,
+  row_number() over (partition by n.anchor_id, positive_id order by score desc, other)::int as rank, other as negative_id,
+  positive_score, score as negative_score
+from near n join scores s
+  on s.anchor_id = n.anchor_id and not same and 80 * positive_score <= 100 * score and score <= positive_score
+qualify rank <= 5
+"""
+
+ORACLES["op13_filter_audit"] = r"""
+with texts as (select doc_id, coalesce(source, '') as part, coalesce(text, '') as t from documents),
+words as (select *, [x for x in string_split_regex(t, '[\x20\x09-\x0D]+') if x <> ''] as w from texts),
+least as (select t, min(doc_id) as first from texts group by t),
+marks as (select doc_id, bool_or(quality = 1) as good, bool_or(toxic = 1) as toxic from labels group by doc_id),
+failed as (
+  select part, coalesce(good, false) as good, coalesce(toxic, false) as toxic,
+    (len(w) < 50)::int + 2 * (100 * len(list_distinct(w)) < 65 * len(w))::int
+    + 4 * (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t))::int
+    + 8 * regexp_matches(t, '[#$%&*|]')::int + 16 * coalesce(doc_id > first, false)::int as mask
+  from words join least using (t) left join marks using (doc_id)),
+counts as (select part, mask, count(*) as n, count_if(good) as good, count_if(toxic) as toxic from failed group by all),
+letters as (select * from (values ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) as l(letter, bit)),
+orders as (
+  select [a.letter, b.letter, c.letter, d.letter, e.letter] as o, [a.bit, b.bit, c.bit, d.bit, e.bit] as bits
+  from letters a, letters b, letters c, letters d, letters e
+  where len(list_distinct([a.letter, b.letter, c.letter, d.letter, e.letter])) = 5),
+steps as (
+  select array_to_string(o, '') as filter_order, s.step::int as step, bits[s.step] as bit,
+    coalesce(list_sum(bits[1:s.step - 1]), 0)::int as before
+  from orders, generate_series(1, 5) as s(step)),
+figures as (
+  select part, filter_order, step, bit,
+    sum(case when mask & (bit | before) = 0 then n else 0 end)::bigint as kept,
+    sum(case when mask & bit <> 0 and mask & before = 0 then n else 0 end)::bigint as removed,
+    sum(case when mask & bit <> 0 and mask & before <> 0 then n else 0 end)::bigint as redundant,
+    sum(case when mask = bit then n else 0 end)::bigint as unique_fails,
+    sum(case when mask & bit <> 0 and mask & before = 0 then good else 0 end)::bigint as good_lost,
+    sum(case when mask & bit <> 0 and mask & before = 0 then toxic else 0 end)::bigint as toxic_lost
+  from counts, steps group by all)
+select * exclude (bit), sum(removed) over (partition by part, bit)::bigint as shapley from figures
+"""

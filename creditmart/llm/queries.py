@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from creditmart.llm import decontaminate, language, licenses, line_dedup, packing, pieces, simhash, toxicity, url_filter, vectors
+from creditmart.llm import (
+    decontaminate, filter_audit, hard_negatives, language, licenses, line_dedup, packing, pieces, simhash, toxicity, url_filter, vectors,
+    window_packing,
+)
 from creditmart.llm.common import held_out, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -121,6 +124,26 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return cleaned.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("text_sha256"))
 
 
+@query
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows = read(spark, folder, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.select("vec_id", label.alias("label"), "embedding")).select(
+        "anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+
+
+@query
+def op12_window_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return window_packing.pack(read(spark, folder, "documents")).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query
+def op13_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    failed = filter_audit.failures(read(spark, folder, "documents"))
+    return filter_audit.audit(failed, read(spark, folder, "labels"))
+
+
 @query
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
