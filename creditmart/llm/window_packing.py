@@ -16,6 +16,7 @@ sums over partitions' totals plus sums inside a partition.
 from __future__ import annotations
 
 import uuid
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -34,21 +35,64 @@ LONG = 1 << 16  # bytes; longer words are not remembered
 
 # ---- tokens ------------------------------------------------------------------------------
 
+# Words of these characters need no library to be lower-cased and split: printable ASCII and Latin
+# letters that are one code point in either case. Fixed values of the tokenizer file's own pattern.
+PLAIN = "\x21-\x7e\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u0148\u014a-\u017e"
+LETTERS = "a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u0148\u014a-\u017e"
+PIECES = f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^{LETTERS}0-9]+"
+
+
+def byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: itself if printable, else one from U+0100 on."""
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in printable]
+    return {**{b: chr(b) for b in printable}, **{b: chr(256 + i) for i, b in enumerate(others)}}
+
+
 def word_pairs(path: str | None = None) -> Callable:
-    """Factory of an encoder of words by the public tokenizer with word ends; its file is read here."""
+    """Factory of an encoder of words (to bytes of their ids) by the public tokenizer with word ends; its file is read here."""
     import public_tokenizers
 
     with open(path or public_tokenizers.path("word_bpe_49k.json")) as file:
         content = file.read()
 
-    def make() -> Callable[[list[str]], list[list[int]]]:
+    def make() -> Callable[[list[str]], list[bytes]]:
         import os
+        import re
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        coder = Tokenizer.from_str(content)
-        return lambda words: [e.ids for e in coder.encode_batch_fast(words, add_special_tokens=False)]
+        coder, letters = Tokenizer.from_str(content), byte_letters()
+        merge, plain, pieces = coder.model.tokenize, re.compile(f"[{PLAIN}]+").fullmatch, re.compile(PIECES).findall
+        known: dict[str, bytes] = {}
+
+        def piece_ids(piece: str) -> bytes:
+            text = piece if piece.isascii() else "".join(letters[b] for b in piece.encode())
+            return array("I", [token.id for token in merge(text)]).tobytes()
+
+        def encode(words: list[str]) -> list[bytes]:
+            if len(known) > WORDS:
+                known.clear()
+            out, rest = [], []
+            for word in words:
+                if not plain(word) or "<|" in word:  # other characters, or maybe a special token
+                    rest.append(len(out))
+                    out.append(b"")
+                    continue
+                parts = []
+                for piece in pieces(word.lower()):
+                    ids = known.get(piece)
+                    if ids is None:
+                        ids = known[piece] = piece_ids(piece)
+                    parts.append(ids)
+                out.append(b"".join(parts))
+            whole = coder.encode_batch_fast([words[i] for i in rest], add_special_tokens=False)
+            for place, encoding in zip(rest, whole):
+                out[place] = array("I", encoding.ids).tobytes()
+            return out
+
+        return encode
 
     return make
 
@@ -56,27 +100,26 @@ def word_pairs(path: str | None = None) -> Callable:
 def tokenized(docs: DataFrame, make: Callable, separator: int, doc_id: str, text: str) -> DataFrame:
     """(part, place, doc_id, n, ids) per document: ids as little-endian unsigned 32-bit integers.
 
-    This tokenizer drops white space, so a text's ids are those of its pieces between ASCII blanks
+    This tokenizer drops white space, so a text's ids are those of its words between ASCII blanks
     and line ends. Each task looks repeated ones up.
     """
     shared = ship(docs.sparkSession, make)
 
     @F.pandas_udf("binary")
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        coder, known, end = shared()(), {}, np.array([separator], "<u4").tobytes()
+        coder, known, end = shared()(), {}, array("I", [separator]).tobytes()
         for batch in batches:
             out = []
             for body in batch:
-                words = (body or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-                new = [w for w in dict.fromkeys(words) if w and w not in known]
-                if new:
-                    if len(known) > WORDS:
-                        known, new = {}, [w for w in dict.fromkeys(words) if w]
-                    fresh = dict(zip(new, (np.array(ids, "<u4").tobytes() for ids in coder(new))))
-                    known.update((w, ids) for w, ids in fresh.items() if len(w) < LONG)
-                else:
-                    fresh = {}
-                out.append(b"".join([known[w] if w in known else fresh[w] for w in words if w]) + end)
+                words = [w for w in (body or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") if w]
+                if len(known) > WORDS:
+                    known.clear()
+                new = [w for w in dict.fromkeys(words) if w not in known]
+                known.update(zip(new, coder(new)))
+                out.append(b"".join([*map(known.__getitem__, words), end]))
+                for word in new:
+                    if len(word) > LONG:  # not worth remembering
+                        del known[word]
             yield pd.Series(out)
 
     coded = docs.select(F.col(doc_id).alias("doc_id"), encode(F.col(text).cast("string")).alias("ids"))
