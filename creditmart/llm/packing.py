@@ -25,6 +25,7 @@ from creditmart.llm.common import prepare, ship, utf8
 LENGTH = 2048
 SHARD_BYTES = 8 << 20  # of text, on average
 RUN = 8192  # segments packed together
+MOST_TASKS = 4096  # that pack; each takes several shards of a larger corpus
 
 
 class Rooms:
@@ -129,20 +130,22 @@ def pack_run(run: pd.DataFrame, shard: int, number: int, length: int, end: int,
         pad = np.full(length - bounds[-1], end, kind).tobytes()
         out.append((
             shard, number, row, b"".join([*(ids[i] for i in inside), pad]), bounds.tolist(),
-            [None if pd.isna(docs[i]) else int(docs[i]) for i in inside], [int(parts[i]) for i in inside]))
+            [docs[i] for i in inside], [int(parts[i]) for i in inside]))
     return pd.DataFrame(out, columns=["shard", "run", "row", "ids", "cu_seqlens", "doc_ids", "segments"])
 
 
 def pack(
     docs: DataFrame, tokenizer: tuple[Callable, int, int] | None = None, length: int = LENGTH, doc_id: str = "doc_id",
-    text: str = "text", shard_bytes: int = SHARD_BYTES, run_size: int = RUN,
+    text: str = "text", shard_bytes: int = SHARD_BYTES, run_size: int = RUN, most_tasks: int = MOST_TASKS,
 ) -> DataFrame:
     """(shard, run, row, ids, cu_seqlens, doc_ids, segments) of the packed corpus.
 
     Every token of every text stands in exactly one row; ``doc_ids`` and ``segments`` name the
     segments in order, ``cu_seqlens`` where they start and end. A null or empty text is a
-    separator. Rows that repeat an id are packed like any other, in no defined order among equal
-    ones; a null id stays null. The number of shards follows the bytes of text. An empty table gives an empty table.
+    separator. ``doc_ids`` are of the type of the ids, of which a null stays null. Rows that repeat an id
+    are packed like any other, in no defined order among equal ones; those with different texts, and
+    rows without id, are spread over the shards. The number of shards follows the bytes of text, that of
+    the tasks has a bound: a task packs its shards one after the other. An empty table gives an empty table.
     """
     tokenizer = tokenizer or byte_pairs()
     _, end, size = tokenizer
@@ -166,11 +169,17 @@ def pack(
         if held:
             yield pack_run(pd.concat(held), shard, number, length, end, width)
 
+    kind = docs.schema[doc_id].dataType.simpleString()
+    # Rows without id are told apart by where they stand, so that many equal ones do not meet in one shard.
+    stand = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
     dealt = segments(docs, tokenizer, length, doc_id, text).withColumn(
-        "shard", F.pmod(F.xxhash64("doc_id", "segment", F.when(F.col("doc_id").isNull(), F.col("ids"))), F.lit(shards)).cast("int"))
-    dealt = dealt.repartition(shards, "shard").sortWithinPartitions("shard", "doc_id", "segment", "ids")
-    return dealt.mapInPandas(
-        packed, "shard int, run int, row int, ids binary, cu_seqlens array<int>, doc_ids array<long>, segments array<int>")
+        "shard", F.pmod(F.xxhash64("doc_id", "segment", "ids", stand), F.lit(shards)).cast("int"))
+    dealt = dealt.repartition(int(min(shards, most_tasks)), "shard").sortWithinPartitions("shard", "doc_id", "segment", "ids")
+    # pandas would turn long ids beside a null into doubles: the ids travel as text.
+    dealt = dealt.select("shard", F.col("doc_id").cast("string").alias("doc_id"), "segment", "ids")
+    rows = dealt.mapInPandas(
+        packed, "shard int, run int, row int, ids binary, cu_seqlens array<int>, doc_ids array<string>, segments array<int>")
+    return rows.withColumn("doc_ids", F.col("doc_ids").cast(f"array<{kind}>"))
 
 
 def positions(cu_seqlens: str = "cu_seqlens") -> Column:

@@ -77,3 +77,35 @@ def test_edges(spark):
     encode = packing.byte_pairs()[0]()
     assert [t for s in range(len([p for p in parts if p[0] == 4])) for t in parts[4, s][0]] == [*encode("a b " * 100_000), 50256]
     assert packing.pack(docs.limit(0)).count() == 0
+
+
+def test_ids_come_back_in_their_own_type(spark):
+    """A null beside ids that no double holds, text ids, and one id in a third of all rows."""
+    rows = [(2**60 + 1, "a b"), (None, "c"), (2**60 + 2, "d e"), (None, None), (None, None)]
+    out = packing.pack(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = [i for r in out.collect() for i in r["doc_ids"]]
+    assert sorted(got, key=str) == sorted((i for i, _ in rows), key=str) and out.schema["doc_ids"].dataType.simpleString() == "array<bigint>"
+    out = packing.pack(spark.createDataFrame([("a", "x"), ("b", "y"), (None, "z")], "doc_id string, text string"))
+    assert sorted((i for r in out.collect() for i in r["doc_ids"]), key=str) == [None, "a", "b"]
+
+
+def test_a_hot_id_and_empty_rows_are_spread(spark):
+    rows = [(7, f"text number {i}") for i in range(200)] + [(None, "")] * 200 + [(i, f"other {i}") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    out = packing.pack(docs, shard_bytes=300, most_tasks=3)
+    got = out.collect()
+    shards = max(r["shard"] for r in got) + 1
+    homes = {}
+    for r in got:
+        for i in r["doc_ids"]:
+            homes.setdefault(i, set()).add(r["shard"])
+    assert shards > 15 and len(homes[7]) > 10 and len(homes[None]) > 10
+    assert out.rdd.getNumPartitions() == 3 and sum(len(r["doc_ids"]) for r in got) == 600
+
+
+def test_rows_do_not_depend_on_the_number_of_tasks(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    one, many = (
+        sorted((r["shard"], r["run"], r["row"], bytes(r["ids"])) for r in packing.pack(docs, shard_bytes=20_000, most_tasks=t).collect())
+        for t in (1, 64))
+    assert one == many
