@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from creditmart.llm.common import free_name, held_out, prepare, ship, utf8
@@ -151,22 +151,25 @@ def fit(texts: list[bytes], labels: list[str], steps: int = TRAIN_STEPS, seed: i
 def train(docs: DataFrame, max_rows: int = MAX_ROWS, steps: int = TRAIN_STEPS) -> Network:
     """Fit on documents with text and language that are not held out.
 
-    At most ``max_rows`` documents are fitted, chosen by a hash of the id; of each, one stretch of
-    the network's training length per thousand bytes (at most 16) travels to the driver, drawn by a
-    hash too. Without any such document the network knows no language.
+    At most ``max_rows`` documents are fitted, the same number of each language (at least one), chosen by
+    a hash of id and text, so a rare language is learned at every size; copies of a text count once.
+    Of each, one stretch of the network's training length per thousand bytes (at most 16) travels to
+    the driver, drawn by a hash too. Without any such document the network knows no language.
     """
-    chosen = (
-        docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.col("text") != "") & ~held_out())
-        .select("doc_id", "lang", F.xxhash64("text").alias("print")).orderBy(F.xxhash64("doc_id"), "print").limit(max_rows))
+    usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.col("text") != "") & ~held_out())
+    texts = usable.groupBy("lang", F.xxhash64("text").alias("print")).agg(F.min("doc_id").alias("doc_id"))
+    share = max(1, max_rows // max(1, usable.agg(F.count_distinct("lang")).first()[0]))
+    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "print")
+    chosen = texts.withColumn("place", F.row_number().over(by_hash)).where(F.col("place") <= share).drop("place")
     size = F.octet_length("text")
     body = F.col("text")
     pieces = F.transform(
         F.sequence(F.lit(0), F.least(F.lit(15), F.floor(size / 1000).cast("int"))),
         lambda i: F.substring(body, 1 + F.pmod(F.xxhash64("doc_id", i), F.greatest(F.lit(1), F.length(body) - TRAIN_BYTES)).cast("int"), F.lit(2 * TRAIN_BYTES)))
     rows = (
-        docs.select("doc_id", F.xxhash64("text").alias("print"), pieces.alias("pieces"))
-        .join(F.broadcast(chosen), ["doc_id", "print"])  # max_rows ids
-        .select("lang", "pieces").collect())
+        docs.select("doc_id", "lang", F.xxhash64("text").alias("print"), pieces.alias("pieces"))
+        .join(F.broadcast(chosen), ["doc_id", "lang", "print"])  # max_rows ids
+        .dropDuplicates(["doc_id", "lang", "print"]).select("lang", "pieces").collect())
     texts = sorted((r["lang"], p) for r in rows for p in r["pieces"] if p)
     if not texts:
         return Network([], *(np.zeros(s, np.float32) for s in ((2, 256, 3 * STATES), (2, STATES, 2 * STATES), (2, STATES, STATES), (2 * STATES, 0), (0,))))
@@ -182,7 +185,8 @@ def probabilities(texts: list[bytes], net: Network) -> np.ndarray:
         codes = np.frombuffer(b"".join(parts), np.uint8).reshape(len(parts), width).T
         states = run_layer(net.table[0], net.gates[0], net.candidate[0], codes[: LEAD + STRETCH])[LEAD:]
         back = run_layer(net.table[1], net.gates[1], net.candidate[1], codes[: LEAD - 1 : -1])[::-1][:STRETCH]
-        p = np.exp(states @ net.out[:STATES] + back @ net.out[STATES:] + net.bias)
+        p = states @ net.out[:STATES] + back @ net.out[STATES:] + net.bias
+        p = np.exp(p - p.max(axis=2, keepdims=True))
         p *= (codes[LEAD : LEAD + STRETCH] > 1)[:, :, None]
         p /= p.sum(axis=2, keepdims=True) + np.float32(1e-30)
         np.add.at(totals, np.array(owner), p.sum(axis=0, dtype=np.float64))

@@ -134,7 +134,8 @@ def fit_bags(bags: list[tuple[int, int, list[list[int]]]], n_words: int) -> tupl
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_features: int = MAX_FEATURES) -> Model:
     """Fit on labelled documents that are not held out.
 
-    A label other than 0 or 1, a null id and a null text are left aside; of several labels of a
+    At most ``max_rows`` ids are drawn, by a hash, and of each one text, so no more documents reach the
+    driver. A label other than 0 or 1, a null id and a null text are left aside; of several labels of a
     document the largest counts, and copies of a text count once. Without labelled rows, or with one
     label only, the model has no words and its leak is the rate of the label.
     """
@@ -145,6 +146,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_feat
     sample = cut(
         docs.select("doc_id", utf8().alias("text")).where(F.col("text").isNotNull())
         .join(F.broadcast(chosen), "doc_id")  # max_rows ids and labels
+        .groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"), F.max("toxic").alias("toxic"))  # an id may repeat
         .groupBy("text").agg(F.max("toxic").alias("toxic")))  # copies are one example
 
     def document_counts(batches):

@@ -49,3 +49,17 @@ def test_edge_cases(spark):
         assert len(out) == 6 and [out[k] for k in ((1, None), (2, ""), (3, "12 !?"))] == ["und"] * 3
         assert language.predict(docs.limit(0), net).count() == 0
     assert out[5, "é"] == "en"
+
+
+def test_sample_is_bounded_and_knows_rare_languages(spark, monkeypatch):
+    """Equal rows count once, one id may have many texts, and each language gets its share."""
+    import zlib
+
+    from creditmart.llm import language as G
+    ids = [i for i in range(4000) if zlib.crc32(str(i).encode()) % 4 != 2]
+    rows = [(ids[0], "the same text " * 9, "en")] * 300 + [(ids[1], f"one id {n} " * 9, "en") for n in range(300)]
+    rows += [(i, f"text {i} " * 9, "en") for i in ids[2:900]] + [(ids[905], "selten " * 9, "de"), (ids[906], "raro " * 9, None)]
+    seen = []
+    monkeypatch.setattr(G, "fit", lambda texts, names, steps: seen.append(list(names)))
+    G.train(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5), max_rows=200)
+    assert seen[0].count("de") == 1 and seen[0].count("en") == 100

@@ -48,3 +48,14 @@ def test_edge_cases(spark):
     assert toxicity.score(docs.limit(0), model).count() == 0
     nothing = toxicity.train(docs.limit(0), labels.limit(0))
     assert nothing.weights == {} and [r.n_sentences for r in toxicity.score(docs, nothing).orderBy("doc_id", "n_chars").collect()][:2] == [0, 1]
+
+
+def test_sample_is_bounded_when_ids_repeat(spark, monkeypatch):
+    from creditmart.llm import toxicity as T
+    ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % 4 != 2][:6]
+    docs = spark.createDataFrame([(ids[0], f"bad word {n}.") for n in range(500)] + [(i, "good text here.") for i in ids[1:]], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i == ids[0])) for i in ids], "doc_id long, toxic int")
+    seen = []
+    monkeypatch.setattr(T, "fit_bags", lambda bags, words: (seen.append(len(bags)), (__import__("numpy").zeros(words), 0.0, -5.0))[1])
+    T.train(docs, labels, max_rows=3)
+    assert seen and seen[0] <= 3
