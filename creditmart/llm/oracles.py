@@ -9,7 +9,9 @@ with lines as (
   from documents where text is not null),
 spread as (
   select line, min((doc_id, pos)) as first_place from lines where trim(line) <> ''
-  group by line having count(distinct source) >= 10),
+  group by line
+  having count(distinct source) >= 10
+    or len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) > 50 and count(distinct doc_id) >= 2),
 marked as (
   select l.doc_id, l.pos, l.line, s.line is not null and (l.doc_id, l.pos) <> s.first_place as gone
   from lines l left join spread s on l.line = s.line)

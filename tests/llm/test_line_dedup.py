@@ -1,3 +1,4 @@
+import re
 from collections import defaultdict
 
 import pytest
@@ -8,20 +9,22 @@ from creditmart.llm import line_dedup, oracles, queries
 
 
 def slow(rows, min_sites):
-    """rows: (doc_id, text, site); repeated (doc_id, text) count as one document."""
-    sites, first = defaultdict(set), {}
+    """rows: (doc_id, text, site); repeated (doc_id, text) count as one document; long lines need two documents."""
+    sites, first, homes = defaultdict(set), {}, defaultdict(set)
     for d, text, site in rows:
         for at, line in enumerate((text or "").split("\n")):
             if line.strip(" "):
                 if site is not None:
                     sites[line].add(site)
+                homes[line].add((d, text))
                 place = ((d is not None, d or 0), at)
                 first[line] = min(first.get(line, place), place)
+    gone = {x for x in homes if len(sites[x]) >= min_sites or len(homes[x]) > 1 and len(re.findall("[^\x20\x09-\x0d]+", x)) > 50}
     out = []
     for d, text, _ in rows:
         kept = [
             line for at, line in enumerate((text or "").split("\n"))
-            if len(sites.get(line, ())) < min_sites or first[line] == ((d is not None, d or 0), at)]
+            if line not in gone or first[line] == ((d is not None, d or 0), at)]
         out.append((d, None if text is None else "\n".join(kept)))
     return sorted(out, key=str)
 
@@ -53,6 +56,23 @@ def test_edges(spark):
     assert line_dedup.remove(docs.limit(0)).count() == 0
 
 
+def test_long_lines_go_from_the_second_document_on(spark):
+    fifty, more = " ".join(f"w{i}" for i in range(50)), "\t".join(f"v{i}" for i in range(51))
+    rows = [(1, f"{fifty}\n{more}\n{more}", "s1"), (2, f"a\n{more}\n{fifty}", "s1"), (3, f"{more} ", None), (3, f"{more} ", None), (4, f"{more} \nz", None),
+            (5, "q " * 80, "s2"), (5, "q " * 80, "s2")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = sorted((tuple(r) for r in line_dedup.remove(docs).select("doc_id", "text").collect()), key=str)
+    assert got == slow(rows, 10) and (2, f"a\n{fifty}") in got and (4, "z") in got and (5, "q " * 80) in got
+
+
+def test_many_removed_lines_take_linear_time(spark):
+    body = "\n".join(f"line {i}" if i % 3 else "" for i in range(60_000))
+    rows = [(d, body + f"\nown {d}", f"s{d}") for d in range(10)]
+    out = line_dedup.remove(spark.createDataFrame(rows, "doc_id long, text string, source string"), n_removed="n")
+    got = {r.doc_id: (r.n, r.text.strip("\n")) for r in out.select("doc_id", "n", "text").collect()}
+    assert got[0][0] == 0 and all(got[d] == (40_000, f"own {d}") for d in range(1, 10))
+
+
 def test_query_equals_sql(spark, small):
     folder = small.replace("0.001", "0.01")
     name = "op10_line_dedup"
