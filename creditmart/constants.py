@@ -124,16 +124,17 @@ MAX_TREES = 2000
 PATIENCE = 50
 SEARCH_DRAWS = 100
 SEARCH_FOLDS = 3
-# Search space; the booster's own penalty and column-sampling knobs that MLlib lacks are
-# left out.
+TREES = {"stepSize": 0.05, "maxDepth": 6, "subsamplingRate": 0.8, "columnRate": 0.8, "seed": 42}
 SEARCH_SPACE = {
     "maxIter": (25, 50),
     "maxDepth": (2, 3),
     "stepSize": (0.01, 0.1),
     "subsamplingRate": (0.6, 0.8),
-    "featureSubsetStrategy": ("0.6", "0.8"),
-    "minInfoGain": (0.0, 0.1),
-    "minInstancesPerNode": (1, 3, 5),
+    "columnRate": (0.6, 0.8),
+    "minSplitLoss": (0.0, 0.1),
+    "minChildWeight": (1, 3, 5),
+    "l1": (0.0, 0.1, 1.0),
+    "l2": (1.0, 1.5, 2.0),
 }
 SCORE_NAME_PATTERN = r"score_(\d{8}_\d{6})"
 SCORE_NAME_FORMAT = "yyyyMMdd_HHmmss"

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from creditmart import constants as K
 from creditmart.operators.lookup import looked_up
-from creditmart.operators.ranges import Cuts, running_totals
+from creditmart.operators.ranges import BITS, running_totals
 
 
 def melt_models(df: DataFrame, models: Mapping[str, str], keep: Sequence[str]) -> DataFrame:
@@ -41,18 +41,22 @@ def score_counts(df: DataFrame, groups: Sequence[str] = (), score: str = "score"
 
 
 def score_curve(df: DataFrame, groups: Sequence[str] = (), score: str = "score",
-                label: str = "label", cuts: Cuts | None = None) -> DataFrame:
+                label: str = "label", bits: Sequence[int] = BITS) -> DataFrame:
     """Per distinct score the hits ``tp`` and false alarms ``fp`` when cutting right there.
 
     ``all_pos`` is the number of positives of the whole group. Rows are counted once per distinct
-    score; the ranges of the running totals are cut by distinct scores, so a score that most rows
+    score; the running totals are taken over slots of the scores' bits, so a score that most rows
     share does not matter.
     """
-    counts = score_counts(df, groups, score, label)
+    return curve_of_counts(score_counts(df, groups, score, label), groups, bits)
+
+
+def curve_of_counts(counts: DataFrame, groups: Sequence[str] = (), bits: Sequence[int] = BITS) -> DataFrame:
+    """The curve from ``score_counts``, one row per group and score; stored counts add up to it too."""
     # Totals of rows and hits, not of hits and misses: every metric then needs both columns, so
     # that Spark computes the counts once and reads their shuffle twice.
     curve = running_totals(counts, groups, "score", {"seen": "rows", "tp": "pos"}, descending=True,
-                           cuts=cuts, group_totals={"all_pos": "tp"})
+                           bits=bits, group_totals={"all_pos": "tp"})
     return curve.withColumn("fp", F.col("seen") - F.col("tp")).drop("seen", "rows")
 
 

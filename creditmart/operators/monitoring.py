@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from creditmart.functions.dates import month_of
-from creditmart.operators.metrics import guarded_auc, melt_models, score_curve
+from creditmart.operators.metrics import curve_of_counts, guarded_auc, melt_models, score_counts
 from creditmart.operators.projection import lower_names
 
 MODELS = ("lr", "xgb")
@@ -48,11 +48,23 @@ def batch_rates(scored: DataFrame, batch: str = "batch_ts") -> DataFrame:
 
 def batch_auc(joined: DataFrame, batch: str = "batch_ts") -> DataFrame:
     """Guarded AUC per batch, one column per model that is present."""
-    present = {m: f"proba_{m}" for m in MODELS if f"proba_{m}" in joined.columns}
-    long = melt_models(joined, present, [batch, "label"])
-    aucs = guarded_auc(score_curve(long, [batch, "model"]), [batch, "model"])
+    return _auc_columns(batch_counts(joined, batch), _present(joined), batch)
+
+
+def _present(scored: DataFrame) -> list[str]:
+    return [m for m in MODELS if f"proba_{m}" in scored.columns]
+
+
+def batch_counts(joined: DataFrame, batch: str = "batch_ts") -> DataFrame:
+    """Labelled rows and positives per batch, model and distinct score."""
+    long = melt_models(joined, {m: f"proba_{m}" for m in _present(joined)}, [batch, "label"])
+    return score_counts(long, [batch, "model"])
+
+
+def _auc_columns(counts: DataFrame, models: Sequence[str], batch: str) -> DataFrame:
+    aucs = guarded_auc(curve_of_counts(counts, [batch, "model"]), [batch, "model"])
     return aucs.groupBy(batch).agg(*[
-        F.max(F.when(F.col("model") == m, F.col("auc"))).alias(f"auc_{m}") for m in present])
+        F.max(F.when(F.col("model") == m, F.col("auc"))).alias(f"auc_{m}") for m in models])
 
 
 def trend(scored: DataFrame, labels: DataFrame | None = None, batch: str = "batch_ts") -> DataFrame:
@@ -69,6 +81,33 @@ def trend(scored: DataFrame, labels: DataFrame | None = None, batch: str = "batc
     return result.withColumn("batch_month", month_of(batch)).orderBy(batch)
 
 
+# ---- stored state: what a batch contributes, kept so that it is read once -----------------
+
+def batch_sums(scored: DataFrame, batch: str = "batch_ts") -> DataFrame:
+    """(batch, name, n, total): values and their sum per batch and column of the trend's rates; sums of disjoint rows add up."""
+    have = set(scored.columns)
+    names = [f"{kind}_{m}" for kind in ("pred", "proba") for m in MODELS if f"{kind}_{m}" in have]
+    lines = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value")) for c in names])
+    return scored.select(batch, F.inline(lines)).groupBy(batch, "name").agg(F.count("value").alias("n"), F.sum("value").alias("total"))
+
+
+def merge_sums(sums: DataFrame, batch: str = "batch_ts") -> DataFrame:
+    return sums.groupBy(batch, "name").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
+
+
+def merge_counts(counts: DataFrame, batch: str = "batch_ts") -> DataFrame:
+    return counts.groupBy(batch, "model", "score").agg(*[F.sum(c).alias(c) for c in ("rows", "pos", "neg")])
+
+
+def trend_of_state(sums: DataFrame, counts: DataFrame, models: Sequence[str] = MODELS, batch: str = "batch_ts") -> DataFrame:
+    """``trend`` from merged ``batch_sums`` and ``batch_counts``; the scored rows are not needed any more."""
+    rates = sums.groupBy(batch).agg(*[
+        F.max(F.when(F.col("name") == f"{kind}_{m}", F.try_divide("total", "n"))).alias(f"{name}_{m}")
+        for kind, name in (("pred", "pos_rate"), ("proba", "mean_proba")) for m in models])
+    result = rates.join(_auc_columns(counts, models, batch), batch, "left")
+    return result.withColumn("batch_month", month_of(batch)).orderBy(batch)
+
+
 def primary_model(columns: Sequence[str], prefer: str | None = None) -> str:
     if prefer and any(c.endswith(f"_{prefer}") for c in columns):
         return prefer

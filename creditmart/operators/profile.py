@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from creditmart import constants as K
 from creditmart.functions.dates import month_of
-from creditmart.operators.ranges import RANGE, known_cuts, with_ranges
+from creditmart.operators.ranges import IMAGE, with_image
 
 
 def long_form(wide: DataFrame, lines: Sequence[Mapping[str, Column]], keep: Sequence[str] = ()) -> DataFrame:
@@ -143,44 +143,43 @@ def bad_rate_curve(df: DataFrame, flag: Column, by: str = "mob") -> DataFrame:
 
 # ---- distributions ----------------------------------------------------------------------
 
+ROUNDS = (20, 22, 22)  # leading bits of a value, then the next ones: all 64 in three rounds
+
+
 def exact_percentiles(df: DataFrame, columns: Sequence[str], shares: Sequence[float]) -> DataFrame:
     """Interpolated percentiles per column as (column, share, value), exact at any size.
 
-    Selection instead of a full sort: rows are counted per value range of each column, the
-    ranges that hold the wanted ranks are found from those few counts, and only the rows of
-    these ranges are ranked.
+    Radix selection on the values' order-preserving bits, in one lazy plan: rows are counted by their
+    leading bits, which tells the slot of every wanted rank; only the rows of these slots are
+    counted by the next bits, and so on. No round ranks more than its 2^22 slots, and nothing is sorted but counts.
     """
-    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    ranged = long_form(with_ranges(numbers, known_cuts(numbers, columns), suffix="_"), [
-        {"column": F.lit(c), "value": F.col(c), RANGE: F.col(f"{RANGE}_{c}")} for c in columns
-    ]).where("value is not null")
-
-    counts = ranged.groupBy("column", RANGE).agg(F.count(F.lit(1)).alias("n"))
-    by_range = Window.partitionBy("column").orderBy(RANGE)
-    placed = counts.select(
-        "column", RANGE, "n",
-        F.coalesce(F.sum("n").over(by_range.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
-        F.sum("n").over(Window.partitionBy("column")).alias("_all"),
-    )
-    rank = F.col("share") * (F.col("_all") - 1)
-    wanted = (
-        placed.withColumn("share", F.explode(F.array(*[F.lit(float(s)) for s in shares])))
-        .withColumn("_rank", rank)
-        .withColumn("_place", F.explode(F.array_distinct(F.array(F.floor("_rank"), F.ceil("_rank")))))
-        .where((F.col("_place") >= F.col("_before")) & (F.col("_place") < F.col("_before") + F.col("n")))
-    )
-    # Only rows of a range with a wanted rank go on; ties collapse map-side. The wanted list has
-    # at most two rows per column and share, so it cannot outgrow a broadcast.
-    seek = ["column", "share", "_place", "_before", "_rank"]
-    values = (
-        ranged.join(F.broadcast(wanted.select(*seek, RANGE)), ["column", RANGE])
-        .groupBy(*seek, "value").agg(F.count(F.lit(1)).alias("_times"))
-    )
-    inside = Window.partitionBy("column", "share", "_place").orderBy("value").rowsBetween(
-        Window.unboundedPreceding, 0)
-    upto = F.col("_before") + F.col("_upto")
-    found = values.withColumn("_upto", F.sum("_times").over(inside)).where(
-        (F.col("_place") >= upto - F.col("_times")) & (F.col("_place") < upto))
+    values = with_image(melt(df, columns).where("value is not null"), "value")
+    shift, seek = 64, ["column", "share", "_rank", "_place"]
+    found, slot = None, []  # the slots' bits so far
+    for number, width in enumerate(ROUNDS):
+        shift -= width
+        bits = F.shiftright(IMAGE, shift) if not number else F.shiftright(IMAGE, shift).bitwiseAND((1 << width) - 1)
+        rows = values.withColumn(f"_bits{number}", bits)
+        if found is not None:
+            # At most two ranks per column and share, so this side cannot outgrow a broadcast.
+            rows = rows.join(F.broadcast(found.select("column", *slot).distinct()), ["column", *slot], "left_semi")
+        counts = rows.groupBy("column", *slot, f"_bits{number}").agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("value"))
+        inside = Window.partitionBy("column", *slot).orderBy(f"_bits{number}")
+        before = F.coalesce(F.sum("n").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        counts = counts.withColumn("_before", before)
+        if found is None:
+            everything = F.sum("n").over(Window.partitionBy("column"))
+            wanted = (
+                counts.withColumn("_all", everything).withColumn("share", F.explode(F.array(*[F.lit(float(s)) for s in shares])))
+                .withColumn("_rank", F.col("share") * (F.col("_all") - 1))
+                .withColumn("_place", F.explode(F.array_distinct(F.array(F.floor("_rank"), F.ceil("_rank")))))
+                .withColumn("_left", F.col("_place")))
+        else:
+            wanted = counts.join(F.broadcast(found.drop("value")), ["column", *slot])
+        slot.append(f"_bits{number}")
+        found = wanted.where((F.col("_left") >= F.col("_before")) & (F.col("_left") < F.col("_before") + F.col("n"))).select(
+            *seek, *slot, "value", (F.col("_left") - F.col("_before")).alias("_left"))
+        values = rows
     low, high = F.min_by("value", "_place"), F.max_by("value", "_place")
     part = F.max(F.col("_rank") - F.floor("_rank"))
     return found.groupBy("column", "share").agg((low + (high - low) * part).alias("value"))

@@ -1,76 +1,53 @@
-"""Running totals over one long sorted column without a one-task window.
+"""Ranks and running totals over one long sorted column, by the bits of its values.
 
-The order column is cut into value ranges of about equal numbers of rows. Running totals are then taken
-inside each range, and the totals of the ranges before it are added. Where the cuts lie changes
-only how even the tasks are, never the result.
+A double has an order-preserving 64-bit image: its sign, exponent and mantissa as one number. The
+image's leading bits name a slot, the next ones a slot within it. How many slots there can be, and
+how many values one of the last level can hold, follows from the number of bits alone, so no sketch
+of the data, no job ahead of the query and no search among cuts is needed, and no task outgrows its
+bound whatever the data: with (24, 20) bits a slot has at most 2^20 parts and a part 2^20 values.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-RANGE = "_range"
-MIN_RANGES, MAX_RANGES = 32, 256
-Cuts = Column | Sequence[float]
+BITS = (24, 20)  # of the first and the second level
+IMAGE, SLOT, PART = "_image", "_slot", "_part"
+_TOP = (1 << 63) - 1
 
 
-def range_count(df: DataFrame) -> int:
-    """As many ranges as the session has shuffle partitions, within bounds."""
-    return min(MAX_RANGES, max(MIN_RANGES, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+def with_image(df: DataFrame, column: str, out: str = IMAGE) -> DataFrame:
+    """Adds the order-preserving image of a double as a long; null stays null, NaN is the largest.
 
-
-def range_cuts(df: DataFrame, columns: Sequence[str], ranges: int | None = None) -> dict[str, Column]:
-    """Ascending cut values per numeric column, from one quantile sketch over ``df``.
-
-    A one-row subquery that runs with the query it is used in: no job starts while the plan is
-    built. The sketch has a fixed number of values per column, whatever the data size.
-    """
-    ranges = ranges or range_count(df)
-    shares = [step / ranges for step in range(1, ranges)]
-    row = df.agg(F.struct(*[
-        F.percentile_approx(F.col(c).cast("double"), shares, 4 * ranges).alias(c) for c in columns]).alias("cuts")).scalar()
-    return {c: F.array_distinct(row.getField(c)) for c in columns}
-
-
-def known_cuts(df: DataFrame, columns: Sequence[str]) -> dict[str, list[float]]:
-    """The cut values themselves, from one pass over ``df``; a fixed number per column.
-
-    For frames with one row per value to be ranked: finding a row's range among known values is much
-    cheaper than among those of a subquery.
-    """
-    cuts = range_cuts(df, columns)
-    row = df.sparkSession.range(1).select(*[at.alias(column) for column, at in cuts.items()]).first()
-    return {c: sorted({cut for cut in row[c] or [] if math.isfinite(cut)}) for c in columns}
-
-
-def with_ranges(df: DataFrame, cuts: Mapping[str, Cuts], suffix: str | None = None) -> DataFrame:
-    """Adds the range number of each column, null for null values.
-
-    One column gives ``_range``; several give ``_range<suffix><column>``.
+    For a positive number it is its IEEE bits, found exactly by arithmetic with powers of two;
+    zeros are 0 and a negative number is the negated image of its absolute value.
     """
-    names = {column: RANGE if suffix is None else f"{RANGE}{suffix}{column}" for column in cuts}
-    fixed = [column for column, at in cuts.items() if not isinstance(at, Column) and at]
-    if fixed:
-        df = Bucketizer(
-            splitsArray=[[-math.inf, *cuts[column], math.inf] for column in fixed], inputCols=fixed,
-            outputCols=[names[column] for column in fixed], handleInvalid="keep").transform(df)
-    df = df.withColumns({names[column]: F.lit(0.0) for column, at in cuts.items() if not isinstance(at, Column) and not at})
-    lazy = [column for column, at in cuts.items() if isinstance(at, Column)]
-    # A subquery may not stand inside a lambda, so the cut values become columns first.
-    ends = {column: f"_ends_{column}" for column in lazy}
-    df = df.withColumns({ends[column]: cuts[column] for column in lazy})
-
-    def number(column: str) -> Column:
-        value = F.col(column)
-        below = F.coalesce(F.size(F.filter(ends[column], lambda end: end < value)), F.lit(0))
-        return F.when(value.isNotNull(), F.greatest(below, F.lit(0)))
-
-    return df.withColumns({names[column]: number(column) for column in lazy}).drop(*ends.values())
+    value = F.col(column).cast("double")
+    size = F.abs(value)
+    plain = (size > 0) & (size < float("inf"))  # false for NaN, the largest of all
+    about = F.greatest(F.lit(-1022.0), F.floor(F.log2(size)).cast("double"))
+    # The logarithm may be off next to a power of two: one step up or down makes the exponent exact.
+    df = df.withColumn("_about", F.when(plain, about))
+    two = F.lit(2.0)
+    step = F.when(F.pow(two, F.col("_about") + 1) <= size, 1.0).when(
+        (F.pow(two, "_about") > size) & (F.col("_about") > -1022), -1.0).otherwise(0.0)
+    df = df.withColumn("_about", F.col("_about") + step)
+    bits = ((F.col("_about") + 1022) * float(1 << 52)).cast("long") + (size / F.pow(two, "_about") * float(1 << 52)).cast("long")
+    image = F.when(F.isnan(value), _TOP).when(size == 0, 0).when(~plain, _TOP - 1).otherwise(bits)
+    signed = F.when(value < 0, -image).otherwise(image)
+    return df.withColumn(out, F.when(value.isNotNull(), signed)).drop("_about")
+
+
+def with_slots(df: DataFrame, column: str, descending: bool = False, bits: Sequence[int] = BITS) -> DataFrame:
+    """Adds the image of ``column`` (inverted when descending) and its slot and part: a shift each."""
+    df = with_image(df, column)
+    image = F.bitwise_not(IMAGE) if descending else F.col(IMAGE)
+    first, second = 64 - bits[0], 64 - bits[0] - bits[1]
+    return df.withColumn(IMAGE, image).withColumns({
+        SLOT: F.shiftright(IMAGE, first), PART: F.shiftright(IMAGE, second).bitwiseAND((1 << bits[1]) - 1)})
 
 
 def running_totals(
@@ -79,33 +56,40 @@ def running_totals(
     order: str,
     sums: Mapping[str, str],
     descending: bool = False,
-    cuts: Cuts | None = None,
+    bits: Sequence[int] = BITS,
     group_totals: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Adds, per group, the total of each column up to and including the row.
 
     ``sums`` maps new names to summed columns, ``group_totals`` names further columns that get
     the total of the whole group, taken from ``sums``' new names. (group, order) must be unique
-    and not null.
+    and not null. Totals are taken of parts, then of slots; what lies before a slot or part enters its
+    window as a first row.
     """
     group_totals = group_totals or {}
-    cuts = range_cuts(df, [order])[order] if cuts is None else cuts
-    ranged = with_ranges(df, {order: cuts})
-
-    def sort(column: str):
-        return F.col(column).desc() if descending else F.col(column).asc()
-
-    before = {new: f"_before_{new}" for new in sums}
-    range_window = (Window.partitionBy(*groups) if groups else Window.partitionBy(F.lit(0)))
-    earlier = range_window.orderBy(sort(RANGE)).rowsBetween(Window.unboundedPreceding, -1)
-    totals = ranged.groupBy(*groups, RANGE).agg(*[F.sum(old).alias(new) for new, old in sums.items()])
-    offsets = totals.select(*groups, RANGE, *[
-        F.coalesce(F.sum(new).over(earlier), F.lit(0)).alias(before[new]) for new in sums
-    ], *[F.sum(new).over(range_window).alias(name) for name, new in group_totals.items()])
-    inside = (Window.partitionBy(*groups, RANGE).orderBy(sort(order))
-              .rowsBetween(Window.unboundedPreceding, 0))
-    return (
-        ranged.join(offsets, [*groups, RANGE])
-        .withColumns({new: F.col(before[new]) + F.sum(old).over(inside) for new, old in sums.items()})
-        .drop(RANGE, *before.values())
-    )
+    keys = list(groups)
+    rows = with_slots(df, order, descending, bits)
+    partial, totals = {new: f"_sum_{new}" for new in sums}, {name: f"_all_{name}" for name in group_totals}
+
+    parts = rows.groupBy(*keys, SLOT, PART).agg(*[F.sum(old).alias(partial[new]) for new, old in sums.items()])
+    slots = parts.groupBy(*keys, SLOT).agg(*[F.sum(c).alias(c) for c in partial.values()])
+
+    def earlier(window, column: str) -> Column:
+        return F.coalesce(F.sum(column).over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+    whole = Window.partitionBy(*(keys or [F.lit(0)]))
+    before_slot = slots.select(
+        *keys, SLOT, F.lit(-1).cast("long").alias(PART), *[earlier(whole.orderBy(SLOT), c).alias(c) for c in partial.values()],
+        *[F.sum(partial[new]).over(whole).alias(totals[name]) for name, new in group_totals.items()])
+    in_slot = Window.partitionBy(*keys, SLOT).orderBy(PART)
+    before_part = parts.unionByName(before_slot, allowMissingColumns=True).select(
+        *keys, SLOT, PART, *[earlier(in_slot, c).alias(c) for c in partial.values()],
+        *[F.first(c, ignorenulls=True).over(in_slot).alias(c) for c in totals.values()]).where(F.col(PART) >= 0)
+
+    with_sums = rows.withColumns({partial[new]: F.col(old) for new, old in sums.items()}).withColumn("_row", F.lit(True))
+    in_part = Window.partitionBy(*keys, SLOT, PART).orderBy(F.col("_row").asc_nulls_first(), IMAGE)
+    upto = in_part.rowsBetween(Window.unboundedPreceding, 0)
+    found = with_sums.unionByName(before_part, allowMissingColumns=True).select(
+        *df.columns, "_row", *[F.sum(partial[new]).over(upto).alias(new) for new in sums],
+        *[F.first(totals[name], ignorenulls=True).over(upto).alias(name) for name in group_totals])
+    return found.where("_row").drop("_row")

@@ -8,7 +8,7 @@ whatever the order of summation was.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import wraps
+from functools import reduce, wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -768,6 +768,16 @@ def trend(spark, folder):
     return rounded(O.trend(star_input(spark, folder, "scored")))
 
 
+@query
+def trend_state(spark, folder):
+    """The trend from the merged states of two halves of the rows, as a later run would add to an earlier one's."""
+    scored = star_input(spark, folder, "scored")
+    halves = [scored.where(F.pmod(F.xxhash64("loan_id", "line_no"), F.lit(2)) == half) for half in (0, 1)]
+    sums = O.merge_sums(reduce(DataFrame.unionByName, [O.batch_sums(h) for h in halves]))
+    counts = O.merge_counts(reduce(DataFrame.unionByName, [O.batch_counts(h) for h in halves]))
+    return rounded(O.trend_of_state(sums, counts))
+
+
 @query
 def labels_join(spark, folder):
     """Scored rows with store labels by snapshot and loan; conflicting labels give two rows."""
@@ -821,7 +831,7 @@ def train_score_gbt(spark, folder):
 @query
 def search(spark, folder):
     parts = _model_frame(spark, folder)
-    _, tuned = L.search(parts.where("split = 'Train'"), NUMBERS, parallelism=8, scoring="hard")
+    _, tuned = L.search(parts.where("split = 'Train'"), NUMBERS, scoring="hard")
     rows = [(i, float(score)) for i, score in enumerate(tuned.avgMetrics)]  # one row per draw
     return spark.createDataFrame(rows, "draw int, mean_score double")
 

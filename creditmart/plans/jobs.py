@@ -29,7 +29,7 @@ from creditmart.operators.modeling import (
     search,
     tuned_thresholds,
 )
-from creditmart.operators.monitoring import trend
+from creditmart.operators.monitoring import MODELS, batch_counts, batch_sums, join_labels, trend, trend_of_state
 from creditmart.operators.profile import count_rows, rows_per_snapshot
 from creditmart.operators.projection import ensure_columns, prefixed
 from creditmart.operators.splits import split_summary, stratified_split, time_split, training_split, window_months
@@ -250,7 +250,7 @@ def with_clickstream(labels: DataFrame, features: DataFrame) -> DataFrame:
 
 
 def train_clickstream_model(labels: DataFrame, features: DataFrame, train_date: str, out: str,
-                            draws: int = K.SEARCH_DRAWS, folds: int = K.SEARCH_FOLDS, parallelism: int = 4, scoring: str = "hard",
+                            draws: int = K.SEARCH_DRAWS, folds: int = K.SEARCH_FOLDS, scoring: str = "hard",
                             months: int = 12, oot_months: int = 2) -> DataFrame:
     """Search a boosted model on clickstream features; returns AUC and Gini per part.
 
@@ -261,7 +261,7 @@ def train_clickstream_model(labels: DataFrame, features: DataFrame, train_date:
     inside = stratified_split(parts.where("split = 'train_test'"), ["loan_id", *keys])
     whole = inside.unionByName(parts.where("split = 'oot'").withColumn("part", F.lit("oot")))
     columns = prefixed(features, "fe_")
-    model, _ = search(whole.where("part = 'train'"), columns, draws, folds, parallelism, scoring)
+    model, _ = search(whole.where("part = 'train'"), columns, draws, folds, scoring)
     model.write().overwrite().save(f"{out}/models/clickstream")
 
     scored = score(whole, {"click": (model, K.DEFAULT_THRESHOLD)}, ["part", "label"])
@@ -301,20 +301,81 @@ def score_batch(df: DataFrame, model_dir: str, batch_ts: str, out: str, keep: Se
 
 
 def monitor(spark: SparkSession, scored_path: str, labels_path: str | None, out: str,
-            scored_form: str | None = None, min_points: int = 2) -> DataFrame:
+            scored_form: str | None = None, min_points: int = 2, state: str | None = None, again: Sequence[str] = ()) -> DataFrame:
     """Metric trend over all scored batches, stored as Parquet and CSV.
 
-    With fewer than ``min_points`` batches there is no trend and an error says so.
+    With fewer than ``min_points`` batches there is no trend and an error says so. With ``state``, a folder,
+    what every batch contributes is kept there: only batches that are new, or whose files have
+    changed, are read; ``again`` names the times of batches to read once more, e.g. after late labels.
     """
-    scored = read_scored(spark, scored_path, scored_form)
-    if scored.select("batch_ts").distinct().limit(min_points).count() < min_points:
-        raise ValueError(f"a trend needs at least {min_points} scored batches in {scored_path}")
-    labels = read_labels(spark, labels_path) if labels_path else None
-    rows = trend(scored, labels) if labels is not None else trend(scored.withColumn("label", F.lit(None).cast("int")))
+    if state is not None:
+        update_metric_state(spark, scored_path, labels_path, state, scored_form, again)
+        sums, counts = read_metric_state(spark, state)
+        if sums.select("batch_ts").distinct().limit(min_points).count() < min_points:
+            raise ValueError(f"a trend needs at least {min_points} scored batches in {scored_path}")
+        models = [m for m in MODELS if sums.where(F.col("name") == f"proba_{m}").limit(1).count()]
+        rows = trend_of_state(sums, counts, models)
+    else:
+        scored = read_scored(spark, scored_path, scored_form)
+        if scored.select("batch_ts").distinct().limit(min_points).count() < min_points:
+            raise ValueError(f"a trend needs at least {min_points} scored batches in {scored_path}")
+        labels = read_labels(spark, labels_path) if labels_path else None
+        rows = trend(scored, labels) if labels is not None else trend(scored.withColumn("label", F.lit(None).cast("int")))
     write_metrics(rows, out, ("parquet", "csv"))
     return spark.read.parquet(f"{out}/parquet")
 
 
+def pending_batches(scored: DataFrame, seen: DataFrame | None, again: Sequence[str] = ()) -> list:
+    """Times of the batches that ``seen`` does not know with the same files, from file names and times alone."""
+    now = batch_files(scored)
+    if seen is None:
+        return sorted(r["batch_ts"] for r in now.select("batch_ts").collect())
+    asked = F.col("batch_ts").cast("string").isin([str(t) for t in again])
+    known = seen.groupBy("batch_ts").agg(F.max_by("files", "number").alias("files"))
+    changed = now.join(known.withColumnRenamed("files", "_before"), "batch_ts", "left").where(
+        F.col("_before").isNull() | (F.col("_before") != F.col("files")) | asked)
+    return sorted(r["batch_ts"] for r in changed.select("batch_ts").collect())
+
+
+def batch_files(scored: DataFrame) -> DataFrame:
+    """(batch_ts, files): a hash of the names and times of each batch's files."""
+    files = scored.select("batch_ts", "_file", "_changed").distinct()
+    return files.groupBy("batch_ts").agg(F.sum(F.xxhash64("_file", "_changed").cast("decimal(38,0)")).cast("string").alias("files"))
+
+
+def update_metric_state(spark: SparkSession, scored_path: str, labels_path: str | None, state: str,
+                        scored_form: str | None = None, again: Sequence[str] = ()) -> list:
+    """Bring new and changed batches into the state; returns their times.
+
+    A run writes its own numbered part and then one line per batch that names it, so a run that
+    ends midway leaves nothing that counts.
+    """
+    scored = read_scored(spark, scored_path, scored_form, files=True)
+    seen = read_table(spark, f"{state}/batches") if found(spark, f"{state}/batches") else None
+    pending = pending_batches(scored, seen, again)
+    if not pending:
+        return []
+    number = 1 + (-1 if seen is None else seen.agg(F.max("number")).first()[0])
+    fresh = scored.where(F.col("batch_ts").isin(pending))
+    rows = fresh.drop("_file", "_changed")
+    labels = read_labels(spark, labels_path) if labels_path else None
+    joined = rows.withColumn("label", F.lit(None).cast("int")) if labels is None else join_labels(rows, labels)
+    batch_sums(rows).write.mode("overwrite").parquet(f"{state}/sums/number={number}")
+    counts = batch_counts(rows.withColumn("label", F.lit(None).cast("int")) if joined is None else joined)
+    counts.write.mode("overwrite").parquet(f"{state}/counts/number={number}")
+    batch_files(fresh).withColumn("number", F.lit(number)).coalesce(1).write.mode("append").parquet(f"{state}/batches")
+    return pending
+
+
+def read_metric_state(spark: SparkSession, state: str) -> tuple[DataFrame, DataFrame]:
+    """Sums and score counts of every batch, each from the last run that read it."""
+    last = read_table(spark, f"{state}/batches").groupBy("batch_ts").agg(F.max("number").alias("number"))
+
+    def current(name: str) -> DataFrame:
+        return read_table(spark, f"{state}/{name}").join(last, ["batch_ts", "number"], "left_semi").drop("number")
+    return current("sums"), current("counts")
+
+
 def predict_months(features: DataFrame, model_path: str, model_name: str, out: str,
                    first: str | None = None, last: str | None = None) -> dict:
     """Clickstream predictions of one month or a range, stored per model and month."""

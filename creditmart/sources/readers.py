@@ -135,13 +135,17 @@ def with_batch_time(df: DataFrame) -> DataFrame:
     return df.withColumn("batch_ts", F.coalesce(named, F.col("_metadata.file_modification_time")))
 
 
-def read_scored(spark: SparkSession, path: str, form: str | None = None) -> DataFrame:
+def read_scored(spark: SparkSession, path: str, form: str | None = None, files: bool = False) -> DataFrame:
     """All scored batches with their time; a table partitioned by ``batch_ts`` has it already.
 
-    Without ``form`` Parquet and CSV batches are read together.
+    Without ``form`` Parquet and CSV batches are read together. With ``files`` the rows also carry
+    ``_file`` and ``_changed``, the file they come from and when it was last written.
     """
     def timed(scored: DataFrame) -> DataFrame:
-        return scored if "batch_ts" in scored.columns else with_batch_time(scored)
+        if files:
+            scored = scored.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_modification_time").alias("_changed"),
+                                   *([] if "batch_ts" in scored.columns else [F.col("_metadata")]))
+        return scored if "batch_ts" in scored.columns else with_batch_time(scored).drop("_metadata")
     return read_mixed(spark, path, timed) if form is None else timed(read_table(spark, path, form))
 
 

@@ -2,6 +2,7 @@
 
 import csv
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -185,6 +186,37 @@ def test_train_score_monitor(mart, tmp_path):
     assert 0 <= got[0]["auc_lr"] <= 1 and got[1]["auc_lr"] is None and got[1]["mean_proba_xgb"] is not None
 
 
+def test_monitor_state_reads_new_batches_only(spark, tmp_path):
+    draw = random.Random(4)
+    rows = [(f"l{i}", f"c{i}", draw.random(), i % 2, round(draw.random(), 1), i % 3 % 2) for i in range(90)]
+    frame = spark.createDataFrame(rows, "loan_id string, customer_id string, proba_lr double, pred_lr int, proba_xgb double, pred_xgb int")
+    labels = spark.createDataFrame([(f"l{i}", int(draw.random() < 0.4)) for i in range(90)], "loan_id string, label int")
+    scored, state = f"{tmp_path}/scored", f"{tmp_path}/state"
+    labels.write.parquet(f"{tmp_path}/labels")
+    days = [f"2025-0{m}-01 00:00:00" for m in (1, 2, 3)]
+    for at, day in enumerate(days[:2]):
+        write_scores(frame.where(F.col("loan_id") != f"l{at}"), scored, day)
+
+    def same_as_a_full_run():
+        full = jobs.monitor(spark, scored, f"{tmp_path}/labels", f"{tmp_path}/full")
+        kept = jobs.monitor(spark, scored, f"{tmp_path}/labels", f"{tmp_path}/kept", state=state)
+        assert kept.columns == full.columns
+        for a, b in zip(kept.orderBy("batch_ts").collect(), full.orderBy("batch_ts").collect(), strict=True):
+            assert a["auc_lr"] is not None and all(x == pytest.approx(y, abs=1e-12) if isinstance(x, float) else x == y for x, y in zip(a, b))
+
+    same_as_a_full_run()
+    assert jobs.update_metric_state(spark, scored, f"{tmp_path}/labels", state) == []
+    write_scores(frame.where("proba_lr < 0.7"), scored, days[2])
+    assert [str(t) for t in jobs.update_metric_state(spark, scored, f"{tmp_path}/labels", state)] == days[2:]
+    same_as_a_full_run()
+    # A batch scored again, and one asked for because labels came late.
+    write_scores(frame.where("proba_lr > 0.2"), scored, days[0])
+    assert [str(t) for t in jobs.update_metric_state(spark, scored, f"{tmp_path}/labels", state, again=[days[1]])] == days[:2]
+    same_as_a_full_run()
+    with pytest.raises(ValueError):
+        jobs.monitor(spark, scored, None, f"{tmp_path}/trend", min_points=4, state=state)
+
+
 def test_unseen_category_scores(mart):
     md = mart[0].all_months("gold/model_dataset").select("label", "dti", "credit_mix", "has_AUTO", "snapshot_date")
     parts = [md.where("snapshot_date < '2023-05-01'"), md.where("snapshot_date >= '2023-05-01'")]

@@ -41,8 +41,8 @@ def test_against_brute_force_with_ties(spark, digits):
     labels = (rng.random(700) < scores * 0.6).astype(int)
     auc, ap, best = brute(scores, labels)
     df = frame(spark, scores, labels.tolist(), model="m")
-    for cuts in (None, [], [0.5], [0.1, 0.2, 0.3, 0.9]):
-        curve = M.score_curve(df, ["model"], cuts=cuts)
+    for bits in ((24, 20), (1, 1), (14, 2), (16, 48)):
+        curve = M.score_curve(df, ["model"], bits=bits)
         row = M.ranking_metrics(curve, ["model"]).first()
         assert row["roc_auc"] == pytest.approx(auc, abs=1e-12) and row["pr_auc"] == pytest.approx(ap, abs=1e-12)
         assert M.best_threshold(curve, ["model"]).first()["threshold"] == best
@@ -146,15 +146,17 @@ def test_primary_metrics_fall_back(spark):
 
 
 def test_one_dominant_score_does_not_gather_the_others(spark):
-    """99 % equal scores: no job while the plan is built, and no range holds most of the distinct scores."""
-    from creditmart.operators.ranges import RANGE, range_cuts, with_ranges
+    """99 % equal scores: no job and no subquery in the curve, and no part holds most of the distinct scores."""
+    from creditmart.operators.ranges import PART, SLOT, with_slots
     df = spark.range(100_000).selectExpr(
         "case when id % 100 = 0 then id / 100000.0d else 0.0d end as score", "cast(id % 3 = 0 as int) as label", "'m' as model", "'Valid' as split")
     jobs = lambda: len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
     before = jobs()
     grid = M.metric_grid(df)
     counts = M.score_counts(df, ["model", "split"])
-    ranged = with_ranges(counts, range_cuts(counts, ["score"])).groupBy(RANGE).count()
+    ranged = with_slots(counts, "score").groupBy(SLOT, PART).count()
+    plan = M.score_curve(df, ["model", "split"])._jdf.queryExecution().executedPlan().toString()
+    assert "ubquery" not in plan
     assert jobs() == before
     assert max(r["count"] for r in ranged.collect()) <= 1000 // 8
     assert grid.count() == 2

@@ -13,7 +13,7 @@ from creditmart.operators import quality as Q
 from creditmart.operators import splits as S
 from creditmart.operators.entity_stats import busiest_entities, entity_stats
 from creditmart.operators.projection import seeded_sample
-from creditmart.operators.ranges import running_totals
+from creditmart.operators.ranges import running_totals, with_image
 
 
 @pytest.fixture(scope="module")
@@ -47,12 +47,12 @@ def test_describe_histogram_and_correlation(numbers):
     assert corr[("a", "c")] is None and corr[("a", "a")] == pytest.approx(1.0)
 
 
-def test_running_totals_do_not_depend_on_cuts(spark):
+def test_running_totals_do_not_depend_on_slots(spark):
     df = spark.createDataFrame([("g", float(i), i) for i in range(50)] + [("h", 3.5, 7)], "g string, x double, n long")
     want = None
-    for cuts in ([], [10.0], [1.0, 2.0, 3.0, 49.0], None):
+    for bits in ((24, 20), (1, 1), (12, 0), (16, 48), (13, 3)):
         for down in (False, True):
-            rows = running_totals(df, ["g"], "x", {"t": "n"}, down, cuts, {"all": "t"}).collect()
+            rows = running_totals(df, ["g"], "x", {"t": "n"}, down, bits, {"all": "t"}).collect()
             got = {(r["g"], r["x"]): (r["t"], r["all"]) for r in rows}
             assert got[("g", 49.0)] == ((49 if down else 1225), 1225) and got[("h", 3.5)] == (7, 7)
             if not down:
@@ -60,6 +60,52 @@ def test_running_totals_do_not_depend_on_cuts(spark):
                 assert got == want
 
 
+def test_image_is_the_order_of_doubles(spark):
+    """The image equals the IEEE bits, in ascending order, next to powers of two and for subnormals too."""
+    import struct
+
+    draw = np.random.default_rng(0)
+    powers = [2.0**e for e in range(-1074, 1024)]
+    values = [0.0, -0.0, 1.7976931348623157e308, 5e-324, 3e-310, float("inf"), *powers, *(float(np.nextafter(p, 0)) for p in powers),
+              *(float(np.nextafter(p, np.inf)) for p in powers), *draw.normal(size=500).tolist(), *(10.0 ** draw.uniform(-300, 300, 500)).tolist()]
+    values += [-v for v in values]
+    rows = with_image(spark.createDataFrame([(v,) for v in [*values, None, float("nan")]], "v double"), "v").collect()
+    for r in rows:
+        if r["v"] is None or r["v"] != r["v"]:
+            assert r["_image"] == (None if r["v"] is None else (1 << 63) - 1)
+        elif abs(r["v"]) == float("inf"):
+            assert abs(r["_image"]) == (1 << 63) - 2
+        else:
+            bits = struct.unpack("<q", struct.pack("<d", abs(r["v"])))[0]
+            assert r["_image"] == (bits if r["v"] > 0 else -bits), r["v"]
+
+
+def test_percentiles_of_many_values_rank_few(spark):
+    """10^6 distinct values: no job while the plan is built, and windows order slots, at most 1/200 as many."""
+    df = spark.range(1_000_000).selectExpr("(id * 7919 % 1000003) / 1000003.0d as v")
+    jobs = lambda: len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+    before = jobs()
+    found = R.exact_percentiles(df, ["v"], [0.0, 0.37, 0.5])
+    assert jobs() == before
+    want = np.sort((np.arange(1_000_000) * 7919 % 1000003) / 1000003.0)
+    got = {r["share"]: r["value"] for r in found.collect()}
+    assert got[0.0] == want[0] and got[0.5] == pytest.approx((want[499_999] + want[500_000]) / 2, abs=0)
+    assert got[0.37] == pytest.approx(np.quantile(want, 0.37), abs=1e-15)
+    # Slots of the first round over all values, and parts of one slot: what the windows order.
+    slots = with_image(df, "v").selectExpr("shiftright(_image, 44) as s", "shiftright(_image, 22) as p")
+    assert slots.select("s").distinct().count() < 5000
+    assert slots.groupBy("s").agg(F.count_distinct("p").alias("n")).agg(F.max("n")).first()[0] <= 4096
+
+
+def test_percentiles_of_negative_odd_and_equal_values(spark):
+    values = [-5.5, -0.0, 0.0, 3e-310, -1e300, 1e300, 7.0, 7.0, 7.0, None, -5.5]
+    df = spark.createDataFrame([(v, None, 2.5) for v in values], "a double, b double, c double")
+    got = {(r["column"], r["share"]): r["value"] for r in R.exact_percentiles(df, ["a", "b", "c"], [0.0, 0.3, 0.5, 1.0]).collect()}
+    for s in (0.0, 0.3, 0.5, 1.0):
+        assert got["a", s] == pytest.approx(np.quantile([v for v in values if v is not None], s)) and got["c", s] == 2.5
+    assert not [k for k in got if k[0] == "b"]
+
+
 def test_null_and_class_rates(spark):
     df = spark.createDataFrame([(1, None), (1, "x"), (0, "x"), (None, "x")], "label int, v string")
     assert {r["column"]: r["null_rate"] for r in R.null_rates(df).collect()} == {"label": 25.0, "v": 25.0}
