@@ -84,10 +84,13 @@ def trend(scored: DataFrame, labels: DataFrame | None = None, batch: str = "batc
 # ---- stored state: what a batch contributes, kept so that it is read once -----------------
 
 def batch_sums(scored: DataFrame, batch: str = "batch_ts") -> DataFrame:
-    """(batch, name, n, total): values and their sum per batch and column of the trend's rates; sums of disjoint rows add up."""
+    """(batch, name, n, total): values and their sum per batch and column of the trend's rates.
+
+    Sums of disjoint rows add up. They are decimals, so the order of rows and merges does not matter.
+    """
     have = set(scored.columns)
     names = [f"{kind}_{m}" for kind in ("pred", "proba") for m in MODELS if f"{kind}_{m}" in have]
-    lines = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value")) for c in names])
+    lines = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("decimal(18,12)").alias("value")) for c in names])
     return scored.select(batch, F.inline(lines)).groupBy(batch, "name").agg(F.count("value").alias("n"), F.sum("value").alias("total"))
 
 
@@ -102,7 +105,7 @@ def merge_counts(counts: DataFrame, batch: str = "batch_ts") -> DataFrame:
 def trend_of_state(sums: DataFrame, counts: DataFrame, models: Sequence[str] = MODELS, batch: str = "batch_ts") -> DataFrame:
     """``trend`` from merged ``batch_sums`` and ``batch_counts``; the scored rows are not needed any more."""
     rates = sums.groupBy(batch).agg(*[
-        F.max(F.when(F.col("name") == f"{kind}_{m}", F.try_divide("total", "n"))).alias(f"{name}_{m}")
+        F.max(F.when(F.col("name") == f"{kind}_{m}", F.try_divide(F.col("total").cast("double"), "n"))).alias(f"{name}_{m}")
         for kind, name in (("pred", "pos_rate"), ("proba", "mean_proba")) for m in models])
     result = rates.join(_auc_columns(counts, models, batch), batch, "left")
     return result.withColumn("batch_month", month_of(batch)).orderBy(batch)

@@ -574,8 +574,11 @@ from (select s.*, coalesce(nullif(b.threshold, 0), 0.5e0) as threshold from scor
       left join (select model, threshold from best where split = 'Valid') b using (model)) a group by all""", "best", "scored_long")
 _add("trend", "select * from trend_rows", "trend_rows")
 _add("labels_join", "select snapshot_date, loan_id, line_no, proba_lr, label from joined", "joined")
-_add("trend_state", "select * from trend_rows", "trend_rows")
-
+_add("trend_state", f"""select batch_ts, {", ".join(
+    f"{_r(f'sum({kind}_{m}::decimal(18,12))::double / count({kind}_{m})')} as {name}_{m}"
+    for kind, name in (("pred", "pos_rate"), ("proba", "mean_proba")) for m in ("lr", "xgb"))},
+max(auc_lr) as auc_lr, max(auc_xgb) as auc_xgb, max(batch_month) as batch_month
+from scored left join (select batch_ts, auc_lr, auc_xgb, batch_month from trend_rows) t using (batch_ts) group by batch_ts""", "scored", "trend_rows")
 _add("trend_joined", """select rates.*, auc_lr, auc_xgb, strftime(batch_ts, '%Y-%m') as batch_month
 from rates left join joined_aucs using (batch_ts)""", "rates", "joined_aucs")
 _add("primary_metrics", """select batch_ts, 'xgb' as primary_model, coalesce(auc_xgb, auc_lr) as auc,
