@@ -177,7 +177,8 @@ def gold_labels(silver: DataFrame, dpd: int = K.DEFAULT_DPD, mob: int = K.DEFAUL
     return rows.select("loan_id", "Customer_ID", "label", "label_def", "snapshot_date", *keep)
 
 
-def _dated_features(features: DataFrame) -> DataFrame:
+def dated_features(features: DataFrame) -> DataFrame:
+    """Features by normalised customer and day (``feat_date``), as the as-of join takes them."""
     rows = rename_customer(features)
     rows = rows.withColumns({"customer_id": C.id_norm("customer_id"), "feat_date": feature_date(rows.columns)})
     return rows.drop("snapshot_date", "snap_ym")
@@ -190,7 +191,7 @@ def gold_model_dataset(labels: DataFrame, features: Sequence[DataFrame],
     base = rename_customer(labels).select(
         C.id_norm("customer_id").alias("customer_id"), iso_date("snapshot_date").alias("label_date"),
         "loan_id", "label", "label_def", *keep)
-    joined = as_of_join(base, [_dated_features(f) for f in features], tie_breaks=tie_breaks)
+    joined = as_of_join(base, [dated_features(f) for f in features], tie_breaks=tie_breaks)
     return joined.withColumnRenamed("label_date", "snapshot_date")
 
 

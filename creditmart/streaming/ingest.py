@@ -18,6 +18,7 @@ from pyspark.sql.types import StructType
 
 from creditmart import constants as K
 from creditmart.plans import layers
+from creditmart.plans.delta import forget_marks, save_marks, update_model_dataset
 from creditmart.plans.jobs import (
     DATASETS,
     Mart,
@@ -76,8 +77,8 @@ def ingest_available(spark: SparkSession, root: str, raw_dir: str, schemas: dict
                      checkpoint: str, run_date: str, dpd: int = K.DEFAULT_DPD, mob: int = K.DEFAULT_MOB) -> list[dict]:
     """One incremental run over all data sets, then silver and gold of the months not yet carried through.
 
-    Labels of later months look back at the features, so model rows from the earliest such
-    month on are rebuilt.
+    Labels of later months look back at the features: those of them whose newest feature day has
+    changed are joined anew (``plans/delta.py``).
     """
     for name, schema in schemas.items():
         ingest_dataset(spark, root, raw_dir, name, schema, checkpoint, run_date)
@@ -93,10 +94,12 @@ def process_pending(spark: SparkSession, root: str, datasets: Sequence[str] = DA
     if not months:
         return []
     mart = Mart(spark, root, tuple(months))
-    log = build_silver(mart, datasets) + build_gold_features(mart) + [build_labels(mart, dpd, mob)]
+    save_marks(mart, months)
+    log = build_silver(mart, datasets) + build_gold_features(mart) + [build_labels(mart, dpd, mob), build_model_dataset(mart)]
     known = mart.all_months("gold/label_store").select(F.col("snap_ym").cast("string")).distinct().collect()
-    later = sorted(r["snap_ym"] for r in known if r["snap_ym"] >= months[0])
+    later = sorted(r["snap_ym"] for r in known if r["snap_ym"] > months[0] and r["snap_ym"] not in months)
     if later:
-        log.append(build_model_dataset(Mart(spark, root, tuple(later))))
+        log += update_model_dataset(mart, months, later)
     spark.createDataFrame(pending, parts.schema).coalesce(1).write.mode("append").parquet(f"{root}/{PROCESSED}")
+    forget_marks(mart)
     return log

@@ -292,6 +292,34 @@ def test_incremental_ingestion_equals_one_build(mart, spark, tmp_path):
         assert snapshot(streamed, name) == snapshot(table, name), name
 
 
+def test_late_features_change_only_the_labels_they_reach(spark, tmp_path):
+    """Features of three customers arrive late for February and May: joined anew until the next known day, equal to one full build."""
+    raw = tmp_path / "raw"
+    write_raw(raw, MONTHS, "_1")
+    schemas = {"loan_daily": text_schema(LOANS), "clickstream": text_schema(CLICKS), "attributes": text_schema(ATTRIBUTES),
+               "financials": text_schema(FINANCIALS)}
+    root = str(tmp_path / "tables")
+    ingest_available(spark, root, str(raw), schemas, str(tmp_path / "state"), "2024-01-01")
+    before = {r["snap_ym"]: r["n"] for r in jobs.Mart(spark, root).all_months("gold/model_dataset").groupBy("snap_ym").agg(F.count("*").alias("n")).collect()}
+    line = lambda i, month: [CUSTOMERS[i], "777.5", "1.1", "14%", "Auto Loan", "3", "14_", "2.5", "4", "good", "50.25", "10", "15 Years and 10 Months",
+                             "NM", "10", "5", "x", "9", month]
+    late = {"features_financials_2.csv": [FINANCIALS, line(1, "2023-02-01"), line(2, "2023-02-01"), line(3, "2023-05-01")],
+            "features_attributes_2.csv": [ATTRIBUTES, [CUSTOMERS[1], "N", 30, "x", "Lawyer", "2023-02-01"]]}
+    for name, rows in late.items():
+        with open(raw / name, "w", newline="") as f:
+            csv.writer(f).writerows(rows)
+    log = ingest_available(spark, root, str(raw), schemas, str(tmp_path / "state"), "2024-01-02")
+    # Next known days are April and July. Of the later months that were not rebuilt anyway, customer 1 has a label in March,
+    # customer 2 none, and customer 3 none in June: one row is joined anew, and March is written.
+    (delta,) = [e for e in log if "joined" in e]
+    assert delta["joined"] == 1 and delta["rows"] == before["2023-03"]
+    again = str(tmp_path / "again")
+    ingest_available(spark, again, str(raw), schemas, str(tmp_path / "state2"), "2024-01-02")
+    drop = lambda root: sorted(map(repr, (lambda d: d.select(*sorted(d.columns)).collect())(jobs.Mart(spark, root).all_months("gold/model_dataset"))))
+    assert drop(root) == drop(again)
+    assert ingest_available(spark, root, str(raw), schemas, str(tmp_path / "state"), "2024-01-03") == []
+
+
 LAYERS = ["bronze/loan_daily", "bronze/clickstream", "silver/loan_daily", "silver/clickstream", "gold/label_store", "gold/model_dataset"]
 
 
