@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from creditmart import constants as K
@@ -45,14 +45,17 @@ def _part(check: str, kind: str, a: Column, b: Column | None = None, column: Col
         (F.lit(None) if b is None else b).cast("double").alias("b"))
 
 
-def _combined(groups: DataFrame, parts: Sequence[Column], always: Sequence[Column], places: int | None = None) -> DataFrame:
+def _combined(groups: DataFrame, parts: Sequence[Column], always: Sequence[Column], places: int | None = None,
+              more: DataFrame | None = None) -> DataFrame:
     """Figures (check, month, column_name, value) from the few group rows of one aggregation.
 
-    Each group row contributes its parts; those of one figure are added up. ``always`` are parts
-    without data, so that overall figures exist for an empty table too.
+    Each group row contributes its parts, and ``more`` holds parts already; those of one figure are
+    added up. ``always`` are parts without data, so that overall figures exist for an empty table too.
     """
     seed = groups.sparkSession.range(1).select(F.inline(F.array(*always).cast(f"array<{_PART}>")))
     rows = groups.select(F.inline(F.array(*parts).cast(f"array<{_PART}>"))).unionByName(seed)
+    if more is not None:
+        rows = rows.unionByName(more)
     totals = rows.groupBy("check", "month", "column_name", "kind").agg(
         F.sum("a").alias("a"), F.sum("b").alias("b"), F.min("a").alias("least"), F.max("a").alias("most"))
     ratio = F.try_divide(F.col("a"), F.col("b"))
@@ -61,9 +64,14 @@ def _combined(groups: DataFrame, parts: Sequence[Column], always: Sequence[Colum
     return totals.select("check", "month", "column_name", value.alias("value"))
 
 
-def _repeats(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Adds ``_nth``, the place of a row among those of its key; a second one means a repeated key."""
-    return df.withColumn("_nth", F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(0))))
+def _repeated_keys(df: DataFrame, keys: Sequence[str], check: str) -> DataFrame:
+    """The part of ``check`` with the number of keys that occur more than once.
+
+    Only the keys are read and shuffled, as one partial count each per task, so neither wide rows nor
+    a hot key go through one task.
+    """
+    repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).agg(F.count(F.lit(1)).alias("_repeated"))
+    return repeated.select(F.inline(F.array(_part(check, _TOTAL, F.col("_repeated"))).cast(f"array<{_PART}>")))
 
 
 def _no_data(parts: Sequence[tuple]) -> list[Column]:
@@ -76,13 +84,13 @@ def financials_suite(df: DataFrame, month: str = "ds_token", rule: str = "commas
 
     ``rule='commas'`` is the current suite, ``rule='parsed'`` the older one, which recounts the
     loan list by names and also expects no early payments. One aggregation by month and credit mix
-    reads the data once; monthly, overall and category figures are put together from its few rows.
+    reads the data; monthly, overall and category figures are put together from its few rows. Repeated keys
+    are counted apart.
     """
     have = set(df.columns)
     missing = [c for c in K.FINANCIAL_COLUMNS if c not in have]
-    figures: dict[str, Column] = {"rows": F.count(F.lit(1)), "repeated": F.count_if(F.col("_nth") == 2)}
-    overall: list[tuple[str, str, str | None, str, str | None]] = [  # check, kind, column, a, b
-        ("total_rows", _TOTAL, None, "rows", None), ("duplicate_groups", _TOTAL, None, "repeated", None)]
+    figures: dict[str, Column] = {"rows": F.count(F.lit(1))}
+    overall: list[tuple[str, str, str | None, str, str | None]] = [("total_rows", _TOTAL, None, "rows", None)]  # check, kind, column, a, b
 
     def add(check: str, kind: str, column: str | None, a: Column, b: Column | None = None) -> None:
         name = f"f{len(figures)}"
@@ -118,7 +126,7 @@ def financials_suite(df: DataFrame, month: str = "ds_token", rule: str = "commas
         add("loan_count_mismatch_rows", _TOTAL, "num_of_loan", F.count_if(recount != F.col("num_of_loan")))
 
     mix = ["credit_mix"] if "credit_mix" in have else []
-    groups = _repeats(df, ["customer_id", "snapshot_date", month]).groupBy(F.col(month).alias("_month"), *mix).agg(
+    groups = df.groupBy(F.col(month).alias("_month"), *mix).agg(
         *[value.alias(name) for name, value in figures.items()])
     at = F.coalesce(F.col("_month").cast("string"), F.lit("null"))
     parts = [_part("rows", _TOTAL, F.col("rows"), month=at)]
@@ -126,8 +134,9 @@ def financials_suite(df: DataFrame, month: str = "ds_token", rule: str = "commas
     parts += [_part(check, kind, F.col(a), None if b is None else F.col(b), column) for check, kind, column, a, b in overall]
     parts += [_part("credit_mix_rows", _TOTAL, F.col("rows"), column=F.col("credit_mix")) for _ in mix]
     always = _no_data([(check, kind, column) for check, kind, column, _, _ in overall])
+    always += _no_data([("duplicate_groups", _TOTAL, None)])
     always += [_part("missing_column", _TOTAL, F.lit(1), column=c) for c in missing]
-    result = _combined(groups, parts, always)
+    result = _combined(groups, parts, always, more=_repeated_keys(df, ["customer_id", "snapshot_date", month], "duplicate_groups"))
     return result.withColumn("month", F.nullif(F.col("month"), F.lit("null"))).select("check", "month", "column_name", "value")
 
 
@@ -141,13 +150,15 @@ def out_of_range_rows(df: DataFrame, column: str = "interest_rate") -> DataFrame
 def label_store_suite(labels: DataFrame) -> DataFrame:
     """Duplicate and non-binary labels, class balance, rows and rate per month, definitions.
 
-    One aggregation by month and definition; all figures are put together from its few rows.
+    Two levels of one aggregation, by key and then by month and definition; all figures are put
+    together from the few rows of the second.
     """
     label = F.col("label")
-    groups = _repeats(labels, ["loan_id", "snapshot_date", "label_def"]).groupBy("snapshot_date", "label_def").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(F.col("_nth") == 2).alias("repeated"), F.sum(label).alias("sum"),
-        F.count(label).alias("known"), F.count_if(label == 0).alias("zero"), F.count_if(label == 1).alias("one"),
-        F.count_if(~F.coalesce(label.isin(0, 1), F.lit(False))).alias("bad"))
+    counts = {"n": F.count(F.lit(1)), "sum": F.sum(label), "known": F.count(label), "zero": F.count_if(label == 0), "one": F.count_if(label == 1),
+              "bad": F.count_if(~F.coalesce(label.isin(0, 1), F.lit(False)))}
+    keys = labels.groupBy("loan_id", "snapshot_date", "label_def").agg(*[c.alias(name) for name, c in counts.items()])
+    groups = keys.groupBy("snapshot_date", "label_def").agg(
+        F.count_if(F.col("n") > 1).alias("repeated"), *[F.sum(name).alias(name) for name in counts])
     n, month = F.col("n"), F.coalesce(F.col("snapshot_date").cast("string"), F.lit("null"))
     parts = [
         _part("rows", _TOTAL, n, month=month), _part("positive_percent", _RATIO, F.col("sum") * 100, F.col("known"), month=month),

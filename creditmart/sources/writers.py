@@ -19,10 +19,29 @@ from creditmart import constants as K
 from creditmart.operators.projection import top_rows
 
 
-def _table_files(spark: SparkSession, path: str, schema: StructType, form: str) -> dict[str, set[str]]:
-    """Files of a table by partition folder; empty if there is no table yet."""
+def _folders(spark: SparkSession, path: str, by: str, values: Sequence[str]) -> list[str]:
+    """Folders of the given values of the first partition column that exist."""
+    name = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    found = []
+    for value in values:
+        place = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{by}={name(value)}")
+        if place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+            found.append(f"{path}/{by}={name(value)}")
+    return found
+
+
+def _table_files(spark: SparkSession, path: str, schema: StructType, form: str, by: str, values: Sequence[str] | None) -> dict[str, set[str]]:
+    """Files of a table by partition folder; empty if there is no table yet.
+
+    With ``values`` of the first partition column only their folders are listed.
+    """
     try:
-        files = spark.read.schema(schema).format(form).load(path).inputFiles()
+        reader = spark.read.schema(schema).format(form)
+        if values:
+            folders = _folders(spark, path, by, values)
+            files = reader.option("basePath", path).load(folders).inputFiles() if folders else []
+        else:
+            files = reader.load(path).inputFiles()
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -40,22 +59,24 @@ def remove_folder(spark: SparkSession, folder: str) -> None:
 
 
 def write_months(df: DataFrame, path: str, by: Sequence[str] = ("snap_ym",), form: str = "parquet",
-                 rebalance: bool = True, months: Sequence[str] | None = None) -> dict:
+                 rebalance: bool = True, months: Sequence[str] | None = None, only: Sequence[str] | None = None) -> dict:
     """Overwrite the partitions of ``df`` in a table and return a small log entry.
 
     ``months`` names the values of the first partition column that the frame stands for (none: all). Of these,
     partitions that the frame has no rows for are removed, so that an emptied month does not keep
-    its old rows; without ``months`` other partitions are left alone. The rows are counted in the
-    written table, from the file footers, so the plan of ``df`` runs once.
+    its old rows; without ``months`` other partitions are left alone. ``only`` names all values that the
+    frame can hold, where the caller knows them. Where values are named, no other folder is listed. The rows are
+    counted in the written table, from the file footers, so the plan of ``df`` runs once.
     """
     spark = df.sparkSession
-    before = _table_files(spark, path, df.schema, form)
+    named = months or only
+    before = _table_files(spark, path, df.schema, form, by[0], named)
     rows = df.hint("rebalance", *[F.col(c) for c in by]) if rebalance else df
     writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by)
     if form == "csv":
         writer = writer.option("header", True)
     writer.format(form).save(path)
-    after = _table_files(spark, path, df.schema, form)
+    after = _table_files(spark, path, df.schema, form, by[0], named)
     written = [folder for folder, files in after.items() if files != before.get(folder)]
     if months is not None:
         meant = {f"{by[0]}={month}" for month in months}
@@ -80,7 +101,8 @@ def write_preview(df: DataFrame, path: str, order: str = "n_rows", rows: int = K
 def write_scores(df: DataFrame, path: str, batch_ts: str) -> dict:
     """One scored batch as a partition; scoring the same batch again replaces it."""
     batch = df.withColumn("batch_ts", F.lit(batch_ts).cast("timestamp"))
-    return write_months(batch, path, by=["batch_ts"])
+    stamp = df.sparkSession.range(1).select(F.lit(batch_ts).cast("timestamp").cast("string")).first()[0]
+    return write_months(batch, path, by=["batch_ts"], only=[stamp])
 
 
 def write_predictions(df: DataFrame, path: str) -> dict:

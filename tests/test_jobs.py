@@ -410,3 +410,20 @@ def test_rolling_training_compares_runs(mart, tmp_path):
     md = mart[0].all_months("gold/model_dataset").withColumn("label", F.col("label").cast("int"))
     rows = jobs.train_rolling(md, str(tmp_path), "2023-07-01", "2023-08-01", models=("lr",)).collect()
     assert sorted((str(r["run_month"]), r["model"]) for r in rows) == [("2023-07-01", "lr"), ("2023-08-01", "lr")]
+
+
+def test_a_write_of_one_month_lists_that_month_only(spark, tmp_path):
+    from creditmart.sources import writers
+
+    df = spark.createDataFrame([("2023-01", 1), ("2023-02", 2), ("2023-02", 3), ("a=b/c", 4)], "snap_ym string, v int")
+    path = str(tmp_path / "t")
+    assert writers.write_months(df, path)["rows"] == 4
+    seen = []
+    real = writers._table_files
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(writers, "_table_files", lambda *a: seen.append(real(*a)) or seen[-1])
+        log = writers.write_months(df.where("v = 2"), path, months=["2023-02"])
+        assert log["rows"] == 1 and all(len(folders) == 1 and next(iter(folders)).endswith("2023-02") for folders in seen)
+        assert writers.write_months(df.where("v = 4"), path, months=["a=b/c"])["rows"] == 1
+        assert writers.write_months(df.where("v = 9"), path, months=["2023-02", "2030-01"])["rows"] == 0
+    assert sorted(r["v"] for r in spark.read.parquet(path).collect()) == [1, 4]
