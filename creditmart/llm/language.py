@@ -180,13 +180,15 @@ def probabilities(texts: list[bytes], net: Network) -> np.ndarray:
     """Mean distribution over the positions of each text (no positions: zeros)."""
     owner, parts, totals = [], [], np.zeros((len(texts), len(net.labels)))
     width = LEAD + STRETCH + LEAD
+    # States lie within -1 and 1, so this bounds what goes into exp; only above it must the maximum come off.
+    steep = float((np.abs(net.out).sum(axis=0) + np.abs(net.bias)).max(initial=0)) > 80
 
     def flush():
         codes = np.frombuffer(b"".join(parts), np.uint8).reshape(len(parts), width).T
         states = run_layer(net.table[0], net.gates[0], net.candidate[0], codes[: LEAD + STRETCH])[LEAD:]
         back = run_layer(net.table[1], net.gates[1], net.candidate[1], codes[: LEAD - 1 : -1])[::-1][:STRETCH]
         p = states @ net.out[:STATES] + back @ net.out[STATES:] + net.bias
-        p = np.exp(p - p.max(axis=2, keepdims=True))
+        p = np.exp(p - p.max(axis=2, keepdims=True) if steep else p)
         p *= (codes[LEAD : LEAD + STRETCH] > 1)[:, :, None]
         p /= p.sum(axis=2, keepdims=True) + np.float32(1e-30)
         np.add.at(totals, np.array(owner), p.sum(axis=0, dtype=np.float64))
