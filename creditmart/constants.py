@@ -121,6 +121,8 @@ MIN_AUC_ROWS = 10
 BOOSTING = {"stepSize": 0.05, "maxDepth": 6, "subsamplingRate": 0.8,
             "featureSubsetStrategy": "0.8", "seed": 42}
 MAX_TREES = 2000
+KLL_SIZE = 200
+THETA_BITS = 16  # 65,536 hashes: counts up to there are exact, beyond within about 0.4 %
 PATIENCE = 50
 SEARCH_DRAWS = 100
 SEARCH_FOLDS = 3

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,5 +46,49 @@ def entity_stats(df: DataFrame, entity: str = "Customer_ID", date: str = "snapsh
     )
 
 
+# ---- monthly states that merge into any span ----------------------------------------------
+
+def entity_month_states(df: DataFrame, entity: str = "Customer_ID", date: str = "snapshot_date", prefix: str = "fe_", k: int = K.KLL_SIZE) -> DataFrame:
+    """(entity, month, n_rows, first, last, features): what one month adds to the statistics.
+
+    ``features`` is a map from feature to count, sum, squared deviations, extremes and a KLL
+    sketch of its values. States of different months, or of different rows of one month, merge.
+    """
+    moment = F.col(date).try_cast("timestamp")
+    states = []
+    for name in prefixed(df, prefix):
+        value = F.col(name).try_cast("double")
+        states += [F.lit(name), F.struct(
+            F.count(value).alias("n"), F.sum(value).alias("total"), (F.var_pop(value) * F.count(value)).alias("spread"),
+            F.min(value).alias("least"), F.max(value).alias("most"), F.kll_sketch_agg_double(value, k).alias("sketch"))]
+    return df.groupBy(entity, F.date_format(moment, "yyyy-MM").alias("month")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.min(moment).alias("first"), F.max(moment).alias("last"), F.create_map(*states).alias("features"))
+
+
+def stats_of_states(states: DataFrame, features: Sequence[str], entity: str = "Customer_ID", k: int = K.KLL_SIZE) -> DataFrame:
+    """``entity_stats`` from states of any months, without reading a row again.
+
+    Counts, sums, means, deviations and extremes are those of one pass; the median is the sketch's,
+    exact for up to ``k`` values and within about 1.33 % of rank for the default ``k`` beyond.
+    """
+    stats = []
+    for name in features:
+        part = F.element_at("features", F.lit(name))
+        n, total, n_rows = F.sum(part["n"]), F.sum(part["total"]), F.sum("n_rows")
+        # Deviations from the common mean: those inside the months and those of the months' means.
+        between = F.sum(F.try_divide(part["total"] * part["total"], part["n"])) - F.try_divide(total * total, n)
+        variance = F.try_divide(F.sum(part["spread"]) + between, F.when(n > 1, n - 1))
+        sketch = F.kll_merge_agg_double(F.when(part["n"] > 0, part["sketch"]), k)
+        stats += [
+            F.try_divide(total, n).alias(f"{name}_mean"), F.when(n > 0, F.kll_sketch_get_quantile_double(sketch, F.lit(0.5))).alias(f"{name}_median"),
+            F.sqrt(F.when(variance < 0, 0.0).otherwise(variance)).alias(f"{name}_std"), F.min(part["least"]).alias(f"{name}_min"),
+            F.max(part["most"]).alias(f"{name}_max"), total.alias(f"{name}_sum"),
+            ((n_rows - F.coalesce(n, F.lit(0))) / n_rows).alias(f"{name}_missing_rate")]
+    first, last = F.min("first"), F.max("last")
+    days = (last.cast("long") - first.cast("long")) / 86400.0
+    return states.groupBy(entity).agg(
+        F.sum("n_rows").alias("n_rows"), first.alias("first_snapshot"), last.alias("last_snapshot"), days.alias("days_active"), *stats)
+
+
 def busiest_entities(stats: DataFrame, rows: int = K.PREVIEW_ROWS, entity: str = "Customer_ID") -> DataFrame:
     return top_rows(stats, [F.desc("n_rows"), F.asc(entity)], rows)

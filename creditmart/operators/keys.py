@@ -12,6 +12,7 @@ from itertools import combinations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from creditmart import constants as K
 from creditmart.functions.cleaning import id_key, id_norm
 from creditmart.functions.dates import month_key, month_text
 
@@ -61,6 +62,36 @@ def key_overlap(frames: Mapping[str, DataFrame], keys: Sequence[str]) -> DataFra
     return counts.select(F.inline(rows))
 
 
+def key_sketches(frames: Mapping[str, DataFrame], keys: Sequence[str], month: str, bits: int = K.THETA_BITS) -> DataFrame:
+    """(source, month, sketch): one Theta sketch of the complete keys per frame and month, of fixed size."""
+    parts = None
+    for name, frame in frames.items():
+        rows = frame.dropna(subset=list(keys)).select(F.lit(name).alias("source"), F.col(month).alias("month"), F.to_json(F.struct(*keys)).alias("key"))
+        sketched = rows.groupBy("source", "month").agg(F.theta_sketch_agg("key", bits).alias("sketch"))
+        parts = sketched if parts is None else parts.unionByName(sketched)
+    return parts
+
+
+def sketched_overlap(sketches: DataFrame, sources: Sequence[str], first: str | None = None, last: str | None = None,
+                     bits: int = K.THETA_BITS) -> DataFrame:
+    """``key_overlap`` of a span of months from stored sketches: every pair of sources from the same few rows.
+
+    Estimates; exact as long as no set has more than 2^``bits`` keys.
+    """
+    rows = sketches
+    if first is not None:
+        rows = rows.where(F.col("month") >= first)
+    if last is not None:
+        rows = rows.where(F.col("month") <= last)
+    whole = rows.agg(*[F.theta_union_agg(F.when(F.col("source") == name, F.col("sketch")), bits).alias(name) for name in sources])
+    pairs = [(name, name) for name in sources] + list(combinations(sources, 2))
+    lines = F.array(*[
+        F.struct(F.lit(a).alias("left_side"), F.lit(b).alias("right_side"),
+                 F.theta_sketch_estimate(F.theta_intersection(F.col(a), F.col(b))).alias("n_keys"))
+        for a, b in pairs])
+    return whole.select(F.inline(lines)).withColumn("n_keys", F.coalesce("n_keys", F.lit(0)).cast("long"))
+
+
 def overlap_rows(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Number of row pairs an inner join would give, from per-key counts only."""
     names = list(keys)

@@ -390,6 +390,13 @@ def key_overlap(spark, folder):
     return Y.key_overlap(_keyed(spark, folder), ["cid_key", "ym_key"])
 
 
+@query
+def key_overlap_sketch(spark, folder):
+    """The same overlap from one sketch per source and month."""
+    sketches = Y.key_sketches(_keyed(spark, folder), ["cid_key", "ym_key"], "ym_key")
+    return Y.sketched_overlap(sketches, list(_keyed(spark, folder)))
+
+
 @query
 def id_overlap(spark, folder):
     return Y.key_overlap(_keyed(spark, folder), ["cid_key"])
@@ -437,6 +444,13 @@ def entity_stats(spark, folder):
     return rounded(E.entity_stats(star_input(spark, folder, "clickstream")))
 
 
+@query
+def entity_stats_state(spark, folder):
+    """The same statistics merged from states by month."""
+    clicks = star_input(spark, folder, "clickstream")
+    return rounded(E.stats_of_states(E.entity_month_states(clicks), J.prefixed(clicks, "fe_")))
+
+
 @query
 def top_entities(spark, folder):
     stats = E.entity_stats(star_input(spark, folder, "clickstream"))

@@ -354,6 +354,7 @@ def _overlap(keys: str) -> str:
 
 _ALL_KEYS = ("label_keys", "fin_keys", "att_keys")
 _add("key_overlap", _overlap("cid_key, ym_key"), *_ALL_KEYS)
+_add("key_overlap_sketch", _overlap("cid_key, ym_key"), *_ALL_KEYS)
 _add("id_overlap", _overlap("cid_key"), *_ALL_KEYS)
 _add("overlap_pairs", "select count(*) as n_pairs from label_keys join fin_keys using (cid_key, ym_key)", *_ALL_KEYS)
 _add("missing_keys", """select distinct cid_key, ym_key from label_keys l where not exists
@@ -381,6 +382,7 @@ _add("entity_stats", f"""select Customer_ID, count(*) as n_rows, min(cast(snapsh
 max(cast(snapshot_date as timestamp)) as last_snapshot,
 cast(date_diff('day', min(cast(snapshot_date as date)), max(cast(snapshot_date as date))) as double) as days_active, {_STATS}
 from clickstream group by Customer_ID""", "clickstream")
+ORACLES["entity_stats_state"] = ORACLES["entity_stats"]
 _add("top_entities", f"""select Customer_ID, count(*) as n_rows, {_r('max(fe_1)')} as fe_1_max from clickstream group by Customer_ID
 order by n_rows desc, Customer_ID limit 200""", "clickstream")
 

@@ -227,3 +227,44 @@ def test_scaling_uses_population_deviation(spark):
     assert [(r["x"], r["k"]) for r in rows] == [(-1.0, 0.0), (1.0, 0.0)]
     staged = P.standardise_stage(df, ["x", "k"]).transform(df).orderBy("x").collect()
     assert [(r["x_f"], r["k_f"]) for r in staged] == [(-1.0, 0.0), (1.0, 0.0)]
+
+
+def test_monthly_states_merge_into_one_pass(spark):
+    from creditmart.operators.entity_stats import entity_month_states, stats_of_states
+    draw = np.random.default_rng(6)
+    rows = [(f"c{i % 7}", f"2024-{1 + i % 5:02d}-{1 + i % 28:02d}", None if i % 11 == 0 else float(draw.normal(50, 9)), None if i % 7 == 3 else float(i % 9))
+            for i in range(900)] + [("one", "2024-01-05", 2.5, None)]
+    df = spark.createDataFrame(rows, "Customer_ID string, snapshot_date string, fe_1 double, fe_2 double")
+    want = {r["Customer_ID"]: r.asDict() for r in entity_stats(df).collect()}
+    # States of each month, made from two halves of its rows, as two batches would.
+    halves = [entity_month_states(df.where(F.pmod(F.hash("fe_1", "snapshot_date"), F.lit(2)) == h)) for h in (0, 1)]
+    got = {r["Customer_ID"]: r.asDict() for r in stats_of_states(halves[0].unionByName(halves[1]), ["fe_1", "fe_2"]).collect()}
+    assert set(got) == set(want)
+    for key, row in want.items():
+        for name, value in row.items():
+            assert got[key][name] == (pytest.approx(value, abs=1e-9) if isinstance(value, float) else value), (key, name)
+    assert got["one"]["fe_1_std"] is None and got["one"]["fe_2_median"] is None and got["one"]["fe_2_missing_rate"] == 1
+
+
+def test_median_of_many_values_is_within_the_sketch_error(spark):
+    from creditmart.operators.entity_stats import entity_month_states, stats_of_states
+    df = spark.range(60_000).selectExpr(
+        "'c' as Customer_ID", "concat('2024-0', id % 6 + 1, '-01') as snapshot_date", "(id * 7919 % 60013) / 1.0d as fe_1")
+    median = stats_of_states(entity_month_states(df), ["fe_1"]).first()["fe_1_median"]
+    rank = df.where(F.col("fe_1") <= median).count() / 60_000
+    assert abs(rank - 0.5) < 0.0266  # twice the stated error
+
+
+def test_theta_overlap_is_exact_when_small_and_near_when_large(spark):
+    from creditmart.operators import keys as Y
+    left = spark.range(90_000).selectExpr("id as k", "concat('2024-0', id % 3 + 1) as m")
+    frames = {"a": left, "b": left.where("k % 3 = 0").withColumn("k", F.col("k") + 15_000), "none": left.where("k < 0")}
+    exact = {(r["left_side"], r["right_side"]): r["n_keys"] for r in Y.key_overlap(frames, ["k"]).collect()}
+    for bits in (17, 12):
+        sketches = Y.key_sketches(frames, ["k"], "m", bits)
+        got = {(r["left_side"], r["right_side"]): r["n_keys"] for r in Y.sketched_overlap(sketches, list(frames), bits=bits).collect()}
+        assert set(got) == set(exact)
+        for pair, n in exact.items():
+            assert got[pair] == n if bits == 17 else abs(got[pair] - n) <= 0.08 * 90_000
+    one = {(r["left_side"], r["right_side"]): r["n_keys"] for r in Y.sketched_overlap(Y.key_sketches(frames, ["k"], "m"), list(frames), "2024-02", "2024-02").collect()}
+    assert one["a", "a"] == 30_000 and one["none", "none"] == 0
