@@ -15,6 +15,7 @@ sums over partitions' totals plus sums inside a partition.
 
 from __future__ import annotations
 
+import json
 import uuid
 from array import array
 from collections.abc import Callable, Iterator
@@ -29,7 +30,7 @@ from creditmart.session import checkpoint_dir
 
 WINDOW, UNIT = 4096, 64
 SEPARATOR = 2
-WORDS = 300_000  # remembered by a task
+WORDS = 500_000  # remembered by a worker process
 LONG = 1 << 16  # bytes; longer words are not remembered
 
 
@@ -49,12 +50,13 @@ def byte_letters() -> dict[int, str]:
     return {**{b: chr(b) for b in printable}, **{b: chr(256 + i) for i, b in enumerate(others)}}
 
 
-def word_pairs(path: str | None = None) -> Callable:
-    """Factory of an encoder of words (to bytes of their ids) by the public tokenizer with word ends; its file is read here."""
+def word_pairs(path: str | None = None) -> tuple[Callable, str]:
+    """(factory of an encoder of words to bytes of their ids, array type of an id) of the public tokenizer with word ends."""
     import public_tokenizers
 
     with open(path or public_tokenizers.path("word_bpe_49k.json")) as file:
         content = file.read()
+    kind = "H" if max(json.loads(content)["model"]["vocab"].values()) < 1 << 16 else "I"
 
     def make() -> Callable[[list[str]], list[bytes]]:
         import os
@@ -69,7 +71,7 @@ def word_pairs(path: str | None = None) -> Callable:
 
         def piece_ids(piece: str) -> bytes:
             text = piece if piece.isascii() else "".join(letters[b] for b in piece.encode())
-            return array("I", [token.id for token in merge(text)]).tobytes()
+            return array(kind, [token.id for token in merge(text)]).tobytes()
 
         def encode(words: list[str]) -> list[bytes]:
             if len(known) > WORDS:
@@ -89,25 +91,32 @@ def word_pairs(path: str | None = None) -> Callable:
                 out.append(b"".join(parts))
             whole = coder.encode_batch_fast([words[i] for i in rest], add_special_tokens=False)
             for place, encoding in zip(rest, whole):
-                out[place] = array("I", encoding.ids).tobytes()
+                out[place] = array(kind, encoding.ids).tobytes()
             return out
 
         return encode
 
-    return make
+    return make, kind
 
 
-def tokenized(docs: DataFrame, make: Callable, separator: int, doc_id: str, text: str) -> DataFrame:
-    """(part, place, doc_id, n, ids) per document: ids as little-endian unsigned 32-bit integers.
+def tokenized(docs: DataFrame, tokenizer: tuple[Callable, str], separator: int, doc_id: str, text: str) -> DataFrame:
+    """(part, place, doc_id, n, ids) per document: ids as little-endian integers of the tokenizer's type.
 
     This tokenizer drops white space, so a text's ids are those of its words between ASCII blanks
-    and line ends. Each task looks repeated ones up.
+    and line ends. Repeated ones are looked up; a worker process keeps them from task to task.
     """
-    shared = ship(docs.sparkSession, make)
+    make, kind = tokenizer
+    shared, name = ship(docs.sparkSession, make), str(uuid.uuid4())
 
     @F.pandas_udf("binary")
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        coder, known, end = shared()(), {}, array("I", [separator]).tobytes()
+        import sys
+
+        kept = sys.__dict__.setdefault("_window_packing", {})  # of this process, which serves many tasks
+        if name not in kept:
+            kept.clear()
+            kept[name] = shared()(), {}
+        (coder, known), end = kept[name], array(kind, [separator]).tobytes()
         for batch in batches:
             out = []
             for body in batch:
@@ -127,7 +136,7 @@ def tokenized(docs: DataFrame, make: Callable, separator: int, doc_id: str, text
     return coded.select(
         "doc_id", "ids", F.spark_partition_id().cast("long").alias("part"),
         F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("place"),
-        (F.octet_length("ids") / 4).cast("long").alias("n"))
+        (F.octet_length("ids") / array(kind).itemsize).cast("long").alias("n"))
 
 
 # ---- repeats of combinations -------------------------------------------------------------
@@ -317,7 +326,7 @@ def _longs(values: list[int]) -> Column:
 
 
 def pack(
-    docs: DataFrame, make: Callable | None = None, window: int = WINDOW, unit: int = UNIT, separator: int = SEPARATOR,
+    docs: DataFrame, tokenizer: tuple[Callable, str] | None = None, window: int = WINDOW, unit: int = UNIT, separator: int = SEPARATOR,
     doc_id: str = "doc_id", text: str = "text",
 ) -> DataFrame:
     """(doc_id, start, length, ids, doc_tokens, sequence_id, offset) per piece.
@@ -330,13 +339,19 @@ def pack(
     """
     spark = prepare(docs.sparkSession)
     folder = f"{checkpoint_dir(spark)}/window-packing-{uuid.uuid4()}"
-    tokenized(docs, make or word_pairs(), separator, doc_id, text).write.parquet(folder)
+    tokenizer = tokenizer or word_pairs()
+    tokenized(docs, tokenizer, separator, doc_id, text).write.parquet(folder)
     coded = spark.read.parquet(folder)
     pieces = plan(coded.select("part", "place", "n"), window, unit)
+    size, kind = array(tokenizer[1]).itemsize, f"<u{array(tokenizer[1]).itemsize}"
+
+    @F.pandas_udf("binary")
+    def widened(ids: pd.Series) -> pd.Series:
+        return ids.map(lambda part: np.frombuffer(part, kind).astype("<u4").tobytes())
+
+    part = F.substring("ids", (size * F.col("start") + 1).cast("int"), (size * F.col("length")).cast("int"))
     return coded.join(pieces, ["part", "place"]).select(
-        "doc_id", "start", "length",
-        F.substring("ids", (4 * F.col("start") + 1).cast("int"), (4 * F.col("length")).cast("int")).alias("ids"),
-        F.col("n").alias("doc_tokens"), "sequence_id", "offset")
+        "doc_id", "start", "length", (part if size == 4 else widened(part)).alias("ids"), F.col("n").alias("doc_tokens"), "sequence_id", "offset")
 
 
 def sequences(pieces: DataFrame, window: int = WINDOW, pad: int = SEPARATOR) -> DataFrame:

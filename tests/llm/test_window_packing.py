@@ -52,13 +52,13 @@ def test_words_encode_like_whole_texts(spark):
     texts = [draw.choice(["", " ", "\n"]).join(draw.choices(WORDS, k=draw.choice([0, 1, 9, 40]))) for _ in range(120)]
     texts += ["".join(draw.choice([*WORDS, " ", "\t", "\r\n"]) for _ in range(60)) for _ in range(60)] + [None, "", "x" * 200_000, "a b " * 100_000]
     got = window_packing.tokenized(documents(spark, texts), window_packing.word_pairs(), 2, "doc_id", "text")
-    found = {r["doc_id"]: np.frombuffer(r["ids"], "<u4").tolist() for r in got.select("doc_id", "ids").collect()}
+    found = {r["doc_id"]: np.frombuffer(r["ids"], "<u2").tolist() for r in got.select("doc_id", "ids").collect()}
     assert [found[i] for i in range(len(texts))] == reference_ids(texts)
 
 
 def numbers():
     """A stand-in for the tokenizer, shipped by value: one id per word."""
-    return lambda: lambda words: [(100 + len(w)).to_bytes(4, "little") for w in words]
+    return (lambda: lambda words: [(100 + len(w)).to_bytes(4, "little") for w in words]), "I"
 
 
 @pytest.mark.parametrize("window,unit", [(4096, 64), (64, 4), (32, 32)])
