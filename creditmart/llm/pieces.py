@@ -84,7 +84,7 @@ def load(path: str) -> Vocabulary:
             byte_ids[int(piece[3:5], 16)] = i
             decoded.append(bytes([int(piece[3:5], 16)]))
         elif model.is_control(i) or model.is_unknown(i) or model.is_unused(i):
-            decoded.append("⁇".join(("  "))[0:0].encode() if not model.is_unknown(i) else " ⁇ ".encode())
+            decoded.append(" ⁇ ".encode() if model.is_unknown(i) else b"")
         else:
             ids[piece], scores[piece] = i, model.get_score(i)
             decoded.append(piece.replace(BLANK, " ").encode())
