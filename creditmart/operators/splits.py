@@ -81,17 +81,18 @@ def training_split(df: DataFrame, train_date: str, column: str = "snapshot_date"
 
 
 def stratified_split(df: DataFrame, keys: Sequence[str], ratio: float = 0.8, label: str = "label",
-                     seed: int = 88, slots: int = 65536) -> DataFrame:
+                     seed: int = 88, digits: int = 4) -> DataFrame:
     """Adds ``part`` ('train'/'test') with the exact train share in every label stratum.
 
-    Rows are ranked by a seeded hash of their key (the first 60 bits of an MD5), but no stratum is sorted or shuffled as a
-    whole. Rows are counted per hash slot, the slot with the cut is found from those counts, and
+    Rows are ranked by a seeded hash of their key (the first 15 hex digits of an MD5, which order as text like
+    numbers), but no stratum is sorted or shuffled as a whole. Rows are counted per hash slot (the first
+    ``digits``), the slot with the cut is found from those counts, and
     only that slot's hashes are ranked to get the cut hash of the stratum. Rows then compare
     their hash with it. The split is exact when keys are unique; copies of a key share a side.
     """
-    slot = F.shiftright("_hash", 60 - slots.bit_length() + 1)
+    slot = F.substring("_hash", 1, digits)
     text = F.concat_ws("|", F.lit(seed), *[F.col(k).cast("string") for k in keys])
-    hashed = df.withColumn("_hash", F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint"))
+    hashed = df.withColumn("_hash", F.substring(F.md5(text), 1, 15))
     slotted = hashed.select(label, "_hash", slot.alias("_slot"))
 
     per_slot = slotted.groupBy(label, "_slot").agg(F.count(F.lit(1)).alias("_in_slot"))
