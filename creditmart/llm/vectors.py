@@ -5,12 +5,11 @@ rotation, which spreads their length evenly, and split into blocks of ``BLOCK``
 squared distance is at most D, it is at most D * BLOCK / dimensions in at least one block, so it is
 enough to range-join every block under this share and to verify the union exactly.
 
-The range join of a block deals the vectors to grid cells over its first coordinates: each has a
-home cell and is also sent to the cells that its range touches. In a cell, the homes are compared
-with all; a pair counts in the first block in which it is in range, hence once. Copies of a vector are one entry
-with a number. A cell never returns pairs: it returns each home's number of links and a spanning
-forest of the links, and cells of more than ``TILE`` entries are cut into tiles that meet in pairs,
-so neither memory nor output grows with the square of a group.
+The entries of a label are dealt to tiles of bounded size by a hash, and every pair of tiles meets in one
+task. There each block is range-joined by its squared distances, and the union of what is in range is
+verified; a pair of vectors meets once, so it counts once. Copies of a vector are one entry with a number.
+A task never returns pairs: it returns each entry's number of links and a spanning forest of the
+links, so neither memory nor output grows with the square of a group.
 """
 
 from __future__ import annotations
@@ -25,7 +24,8 @@ from creditmart.llm.components import components
 
 COSINE = 0.93
 BLOCK = 16
-TILE = 4096
+TILE = 8192
+ROWS_AT_ONCE = 256
 PAIRS_AT_ONCE = 1 << 15
 SLACK = 1e-9  # of a budget, against rounding
 
@@ -54,72 +54,41 @@ def blocks(dims: int, cosine: float, block: int) -> list[tuple[int, int, float]]
     return [(a, b, total * (b - a) / dims * (1 + SLACK) + 1e-12) for a, b in zip(cuts, cuts[1:])]
 
 
-def _cells(rows: np.ndarray, budget: float, grid: int):
-    """(index, key, home) of the cells of each row of a block's coordinates."""
-    reach = np.sqrt(budget) * (1 + 1e-6)
-    side = 2 * reach
-    at = rows[:, :grid] / side
-    low, home, high = np.floor(at - 0.5 - 1e-9), np.floor(at), np.floor(at + 0.5 + 1e-9)
-    index, key, own = np.arange(len(rows)), np.zeros(len(rows), np.int64), np.ones(len(rows), bool)
-    for i in range(min(grid, rows.shape[1])):
-        choices = []
-        for cell in (low, home, high):
-            c = cell[index, i]
-            fresh = np.ones(len(index), bool) if cell is home else c != home[index, i]
-            choices.append((index[fresh], key[fresh] * 1021 + c[fresh].astype(np.int64), own[fresh] & (cell is home)))
-        index, key, own = (np.concatenate([c[j] for c in choices]) for j in range(3))
-    return index, key, own
-
-
-def deal(batches, cosine: float, block: int, grid: int, with_vectors: bool):
-    """Rows of entries to rows of (label, dims, block, cell, home, entry, copies, vector)."""
-    for batch in batches:
-        for dims, part in batch.groupby("dims"):
-            vectors = np.vstack([np.frombuffer(v, np.float64) for v in part["vector"]])
-            turned = rotated(vectors)
-            for number, (a, b, budget) in enumerate(blocks(int(dims), cosine, block)):
-                index, key, own = _cells(turned[:, a:b], budget, grid)
-                out = pd.DataFrame({
-                    "label": part["label"].to_numpy()[index], "dims": int(dims), "block": number, "cell": key})
-                if with_vectors:
-                    out["home"], out["entry"] = own, part["entry"].to_numpy()[index]
-                    out["copies"], out["vector"] = part["copies"].to_numpy()[index], part["vector"].to_numpy()[index]
-                yield out
+def scaled(vectors: np.ndarray) -> np.ndarray:
+    """Each vector times a power of two, so that its largest component is near 1: exact, and no norm overflows."""
+    return np.ldexp(vectors, -np.frexp(np.abs(vectors).max(axis=1))[1][:, None])
 
 
 def compare(key, rows: pd.DataFrame, cosine: float, block: int) -> pd.DataFrame:
-    """Links of one tile of homes with one tile of a cell: counts by home, and a spanning forest.
+    """Links between two tiles, or within one: counts, and a spanning forest.
 
-    Gives (entry, root, links): for each entry of the tile with a link its root in the forest, and
-    for homes the number of vectors linked.
+    Gives (entry, root, links): for each entry with a link its root in the forest, and the number of
+    vectors it is linked with here.
     """
-    _, dims, number, _, first, second = key
-    homes = np.flatnonzero(rows["home"].to_numpy() & (rows["tile"].to_numpy() == first))
-    others = np.flatnonzero(rows["tile"].to_numpy() == second)
-    entry, copies = rows["entry"].to_numpy(), rows["copies"].to_numpy()
-    vectors = np.vstack([np.frombuffer(v, np.float64) for v in rows["vector"]])
+    _, dims, first, second = key
+    tile, copies, entry = (rows[c].to_numpy() for c in ("tile", "copies", "entry"))
+    left, right = np.flatnonzero(tile == first), np.flatnonzero(tile == second)
+    vectors = scaled(np.vstack([np.frombuffer(v, np.float64) for v in rows["vector"]]))
     norms, turned = np.sqrt((vectors * vectors).sum(axis=1)), rotated(vectors)
-    layout = blocks(int(dims), cosine, block)
-    a, b, budget = layout[number]
-    square = (turned[:, a:b] ** 2).sum(axis=1)
+    layout = [(a, b, budget, (turned[:, a:b] ** 2).sum(axis=1)) for a, b, budget in blocks(int(dims), cosine, block)]
     root, links = np.arange(len(rows)), np.zeros(len(rows), np.int64)
 
-    for start in range(0, len(homes), 256):
-        some = homes[start : start + 256]
-        near = square[some][:, None] + square[others][None, :] - 2 * turned[some, a:b] @ turned[others, a:b].T
-        i, j = np.nonzero(near <= budget * (1 + 1e-6) + 1e-9)
-        x, y = some[i], others[j]
+    for start in range(0, len(left), ROWS_AT_ONCE):
+        some = left[start : start + ROWS_AT_ONCE]
+        near = np.zeros((len(some), len(right)), bool)
+        for a, b, budget, square in layout:
+            apart = square[some][:, None] + square[right][None, :] - 2 * turned[some, a:b] @ turned[right, a:b].T
+            near |= apart <= budget * (1 + 1e-6) + 1e-9
+        i, j = np.nonzero(near)
+        x, y = some[i], right[j]
+        if first == second:  # each pair of one tile once
+            x, y = x[x < y], y[x < y]
         for at in range(0, len(x), PAIRS_AT_ONCE):
             p, q = x[at : at + PAIRS_AT_ONCE], y[at : at + PAIRS_AT_ONCE]
-            p, q = p[entry[p] != entry[q]], q[entry[p] != entry[q]]
-            gap = (turned[p] - turned[q]) ** 2
-            found = gap[:, a:b].sum(axis=1) <= budget
-            for c, d, earlier in layout[:number]:
-                found &= gap[:, c:d].sum(axis=1) > earlier
-            p, q = p[found], q[found]
             close = (vectors[p] * vectors[q]).sum(axis=1) / (norms[p] * norms[q]) >= cosine
             p, q = p[close], q[close]
             np.add.at(links, p, copies[q])
+            np.add.at(links, q, copies[p])
             while len(p):
                 least = np.minimum(root[p], root[q])
                 np.minimum.at(root, root[p], least)
@@ -128,7 +97,7 @@ def compare(key, rows: pd.DataFrame, cosine: float, block: int) -> pd.DataFrame:
                     root = root[root]
                 apart = root[p] != root[q]
                 p, q = p[apart], q[apart]
-    told = np.flatnonzero((root != np.arange(len(rows))) | (links > 0))
+    told = np.flatnonzero(links > 0)
     return pd.DataFrame({"entry": entry[told], "root": entry[root[told]], "links": links[told]})
 
 
@@ -151,36 +120,27 @@ def near_duplicates(
     own and come out alike. An empty table gives an empty table; other columns are not read.
     """
     spark = prepare(rows.sparkSession)
+    name = F.col(label).cast("string")
+    # Two hashes: at billions of vectors one alone would take different ones for copies.
+    print_ = F.concat(F.hex(F.xxhash64(name, vector)), F.lit("-"), F.hex(F.xxhash64(F.lit(7), name, vector)))
     data = rows.select(
-        F.col(vec_id).alias("vec_id"), F.when(usable(vector, label), F.xxhash64(F.col(label).cast("string"), vector)).alias("entry"),
-        F.col(label).cast("string").alias("label"), F.col(vector).alias("vector"))
+        F.col(vec_id).alias("vec_id"), F.when(usable(vector, label), print_).alias("entry"), name.alias("label"), F.col(vector).alias("vector"))
     whole = data.where(F.col("entry").isNotNull())
     entries = (
         whole.groupBy("entry", "label", "vector").agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("copies")))
     as_bytes = F.pandas_udf(lambda s: pd.Series([np.asarray(v, np.float64).tobytes() for v in s]), "binary")
     entries = cut(entries.select("entry", "label", "least", "copies", F.size("vector").alias("dims"), as_bytes("vector").alias("vector")))
 
-    # finer cells for more vectors; the result does not depend on it
-    most = entries.groupBy("label").count().agg(F.max("count")).first()[0] or 1
-    grid = int(np.clip(np.ceil(np.log2(most / tile)), 1, 6))
-    wide = "label string, dims int, block int, cell long, home boolean, entry long, copies long, vector binary"
-    narrow = "label string, dims int, block int, cell long"
-    at = ["label", "dims", "block", "cell"]
-    source = entries.select("label", "dims", "entry", "copies", "vector")
-    crowds = (
-        source.mapInPandas(lambda b: deal(b, cosine, block, grid, False), narrow).groupBy(*at).agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") > tile).select(*at, F.ceil(F.col("n") / tile).cast("int").alias("tiles")))
-    dealt = source.mapInPandas(lambda b: deal(b, cosine, block, grid, True), wide).join(crowds, at, "left")
-    dealt = dealt.withColumn("tiles", F.coalesce("tiles", F.lit(1)))
-    dealt = dealt.withColumn("tile", F.pmod(F.hash("entry"), F.col("tiles")))
+    kinds = ["label", "dims"]
+    tiles = entries.groupBy(*kinds).agg(F.ceil(F.count(F.lit(1)) / tile).cast("int").alias("tiles"))
+    dealt = entries.select(*kinds, "entry", "copies", "vector").join(tiles, kinds).withColumn(
+        "tile", F.pmod(F.xxhash64("entry"), F.col("tiles")).cast("int"))
     every = F.sequence(F.lit(0), F.col("tiles") - 1)
-    as_other = F.transform(every, lambda i: F.struct(i.alias("i"), F.col("tile").alias("j")))
-    as_home = F.transform(every, lambda j: F.struct(F.col("tile").alias("i"), j.alias("j")))
-    dealt = dealt.select("*", F.explode(F.when(F.col("home"), F.array_union(as_other, as_home)).otherwise(as_other)).alias("meet"))
-    dealt = dealt.select(*at, F.col("meet.i").alias("first"), F.col("meet.j").alias("second"), "home", "tile", "entry", "copies", "vector")
+    meets = F.transform(every, lambda i: F.struct(F.least(i, F.col("tile")).alias("first"), F.greatest(i, F.col("tile")).alias("second")))
+    dealt = dealt.select(*kinds, "tile", "entry", "copies", "vector", F.inline(meets))
     told = cut(
-        dealt.groupBy(*at, "first", "second")
-        .applyInPandas(lambda key, part: compare(key, part, cosine, block), "entry long, root long, links long"))
+        dealt.groupBy(*kinds, "first", "second")
+        .applyInPandas(lambda key, part: compare(key, part, cosine, block), "entry string, root string, links long"))
 
     counts = told.groupBy("entry").agg(F.sum("links").alias("links"))
     found = components(told, "entry", "root").select(F.col("node").alias("entry"), "component")

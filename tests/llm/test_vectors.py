@@ -58,3 +58,20 @@ def test_edges(spark):
 def test_query_equals_sql(spark, small):
     name = "op8_embedding_dedup"
     assert difference(queries.QUERIES[name](spark, small), connect(small), oracles.ORACLES[name]) is None
+
+
+def test_huge_and_tiny_vectors_link(spark):
+    """Components whose squares overflow or vanish: the cosine does not depend on length."""
+    rows = [(1, [1e200, 1e200], 1), (2, [1e200, 1.1e200], 1), (3, [1e-200, 1e-200], 1), (4, [1e200, -1e200], 1), (5, [3.0, 3.1], 1), (6, [1.7e308, 1.7e308], 1)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = sorted((r.vec_id, r.n_links, r.component_id) for r in vectors.near_duplicates(frame).collect())
+    assert got == [(1, 4, 1), (2, 4, 1), (3, 4, 1), (4, 0, 4), (5, 4, 1), (6, 4, 1)]
+
+
+def test_tiles_meet_once(spark):
+    """Every pair of tiles of a label is one task; a vector goes to as many as there are tiles."""
+    draw = np.random.default_rng(2)
+    base = draw.normal(size=8)
+    rows = [(i, [float(np.float32(x)) for x in base + 0.02 * draw.normal(size=8)], 1) for i in range(90)]
+    assert run(spark, rows, tile=11) == run(spark, rows) == slow(rows, 0.93)
+    assert all(r[1] == 89 for r in run(spark, rows, tile=11))
