@@ -34,7 +34,7 @@ def test_entry(spark):
     assert entry.entry(spark).count() > 0
 
 
-# The search runs 300 fits for minutes; tests/test_jobs.py runs the operator on a small space.
+# The search grows 400 models for minutes; tests/test_jobs.py and test_boosting.py run the operator on a small space.
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES) - {"search"}))
 def test_rows_only_queries(spark, small, name):
     assert QUERIES[name](spark, small).count() > 0
