@@ -30,7 +30,7 @@ from creditmart.session import checkpoint_dir
 
 WINDOW, UNIT = 4096, 64
 SEPARATOR = 2
-WORDS = 500_000  # remembered by a worker process
+WORDS, MOST_PIECES = 300_000, 800_000  # remembered by a worker process
 LONG = 1 << 16  # bytes; longer words are not remembered
 
 
@@ -71,24 +71,23 @@ def word_pairs(path: str | None = None) -> tuple[Callable, str]:
 
         def piece_ids(piece: str) -> bytes:
             text = piece if piece.isascii() else "".join(letters[b] for b in piece.encode())
-            return array(kind, [token.id for token in merge(text)]).tobytes()
+            ids = known[piece] = array(kind, [token.id for token in merge(text)]).tobytes()
+            return ids
 
         def encode(words: list[str]) -> list[bytes]:
-            if len(known) > WORDS:
+            if len(known) > MOST_PIECES:
                 known.clear()
             out, rest = [], []
             for word in words:
-                if not plain(word) or "<|" in word:  # other characters, or maybe a special token
+                ascii_ = word.isascii()
+                if ascii_ and word.isalpha():
+                    piece = word.lower()
+                    out.append(known.get(piece) or piece_ids(piece))
+                elif (word.isprintable() if ascii_ else plain(word)) and "<|" not in word:
+                    out.append(b"".join([known.get(piece) or piece_ids(piece) for piece in pieces(word.lower())]))
+                else:  # other characters, or maybe a special token
                     rest.append(len(out))
                     out.append(b"")
-                    continue
-                parts = []
-                for piece in pieces(word.lower()):
-                    ids = known.get(piece)
-                    if ids is None:
-                        ids = known[piece] = piece_ids(piece)
-                    parts.append(ids)
-                out.append(b"".join(parts))
             whole = coder.encode_batch_fast([words[i] for i in rest], add_special_tokens=False)
             for place, encoding in zip(rest, whole):
                 out[place] = array(kind, encoding.ids).tobytes()
