@@ -106,6 +106,13 @@ def test_percentiles_of_negative_odd_and_equal_values(spark):
     assert not [k for k in got if k[0] == "b"]
 
 
+def test_percentile_rounds_do_not_repeat_the_image(spark):
+    """The arithmetic of the bits stands a few times in the plan, not in the joins' tests of their keys."""
+    df = spark.range(10).selectExpr("id / 7.0d as a", "id / 3.0d as b")
+    plan = R.describe(df, ["a", "b"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("POWER") <= 5 * len(R.ROUNDS)
+
+
 def test_null_and_class_rates(spark):
     df = spark.createDataFrame([(1, None), (1, "x"), (0, "x"), (None, "x")], "label int, v string")
     assert {r["column"]: r["null_rate"] for r in R.null_rates(df).collect()} == {"label": 25.0, "v": 25.0}
