@@ -113,6 +113,20 @@ def test_percentile_rounds_do_not_repeat_the_image(spark):
     assert plan.count("POWER") <= 5 * len(R.ROUNDS)
 
 
+def test_medians_read_the_rows_once(spark):
+    from creditmart.operators.preprocess import medians
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(5_000, numPartitions=4).selectExpr("id % 997 / 7.0d as a").mapInArrow(counted, "a double")
+    assert medians(df, ["a"]).first()["value"] == pytest.approx(np.median(np.arange(5_000) % 997 / 7.0))
+    assert seen.value == 5_000
+
+
 def test_null_and_class_rates(spark):
     df = spark.createDataFrame([(1, None), (1, "x"), (0, "x"), (None, "x")], "label int, v string")
     assert {r["column"]: r["null_rate"] for r in R.null_rates(df).collect()} == {"label": 25.0, "v": 25.0}
