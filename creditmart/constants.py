@@ -122,7 +122,7 @@ BOOSTING = {"stepSize": 0.05, "maxDepth": 6, "subsamplingRate": 0.8,
             "featureSubsetStrategy": "0.8", "seed": 42}
 MAX_TREES = 2000
 KLL_SIZE = 200
-THETA_BITS = 16  # 65,536 hashes: counts up to there are exact, beyond within about 0.4 %
+THETA_BITS = 16  # 65,536 hashes a sketch; keys are dealt to slots of half as many rows, so counts are exact
 PATIENCE = 50
 SEARCH_DRAWS = 100
 SEARCH_FOLDS = 3

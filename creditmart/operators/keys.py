@@ -63,32 +63,48 @@ def key_overlap(frames: Mapping[str, DataFrame], keys: Sequence[str]) -> DataFra
 
 
 def key_sketches(frames: Mapping[str, DataFrame], keys: Sequence[str], month: str, bits: int = K.THETA_BITS) -> DataFrame:
-    """(source, month, sketch): one Theta sketch of the complete keys per frame and month, of fixed size."""
-    parts = None
+    """(source, month, apart, slots, slot, sketch): Theta sketches of the complete keys per frame and month, of bounded size.
+
+    Keys are dealt by hash to as many slots, a power of two and the same for all frames, as leave at most half of
+    2^``bits`` rows to one on average, so that every sketch stays exact. Where the month is one of the keys, months
+    share none (``apart`` names the month) and each has slots of its own; most have one. Else all months share them.
+    """
+    rows = None
     for name, frame in frames.items():
-        rows = frame.dropna(subset=list(keys)).select(F.lit(name).alias("source"), F.col(month).alias("month"), F.to_json(F.struct(*keys)).alias("key"))
-        sketched = rows.groupBy("source", "month").agg(F.theta_sketch_agg("key", bits).alias("sketch"))
-        parts = sketched if parts is None else parts.unionByName(sketched)
-    return parts
+        apart = F.col(month) if month in keys else F.lit(None)
+        part = frame.dropna(subset=list(keys)).select(
+            F.lit(name).alias("source"), F.col(month).cast("string").alias("month"), apart.cast("string").alias("apart"),
+            F.to_json(F.struct(*keys)).alias("key"))
+        rows = part if rows is None else rows.unionByName(part)
+    needed = F.greatest(F.lit(0.0), F.ceil(F.log2(F.max("n") / (1 << bits - 1))))
+    slots = rows.groupBy("apart", "source").agg(F.count(F.lit(1)).alias("n")).groupBy(F.col("apart").alias("_apart")).agg(
+        F.pow(F.lit(2.0), needed).cast("long").alias("slots"))
+    # One row per month, so this side cannot outgrow a broadcast.
+    dealt = rows.join(F.broadcast(slots), F.col("apart").eqNullSafe(F.col("_apart"))).withColumn("slot", F.pmod(F.xxhash64("key"), "slots"))
+    return dealt.groupBy("source", "month", "apart", "slots", "slot").agg(F.theta_sketch_agg("key", bits).alias("sketch"))
 
 
 def sketched_overlap(sketches: DataFrame, sources: Sequence[str], first: str | None = None, last: str | None = None,
                      bits: int = K.THETA_BITS) -> DataFrame:
-    """``key_overlap`` of a span of months from stored sketches: every pair of sources from the same few rows.
+    """``key_overlap`` of a span of months from stored sketches: every pair of sources from the same rows.
 
-    Estimates; exact as long as no set has more than 2^``bits`` keys.
+    Slots share no key, so their counts add up. Exact for sketches of one call, and of several where the month is one
+    of the keys and comes in one call; else slots of different numbers meet in the fewest, and full ones are estimates.
     """
     rows = sketches
     if first is not None:
         rows = rows.where(F.col("month") >= first)
     if last is not None:
         rows = rows.where(F.col("month") <= last)
-    whole = rows.agg(*[F.theta_union_agg(F.when(F.col("source") == name, F.col("sketch")), bits).alias(name) for name in sources])
+    fewest = rows.groupBy(F.col("apart").alias("_apart")).agg(F.min("slots").alias("fewest"))  # one row per month
+    met = rows.join(F.broadcast(fewest), F.col("apart").eqNullSafe(F.col("_apart")))
+    slots = met.groupBy("apart", (F.col("slot") % F.col("fewest")).alias("slot")).agg(*[
+        F.theta_union_agg(F.when(F.col("source") == name, F.col("sketch")), bits).alias(name) for name in sources])
     pairs = [(name, name) for name in sources] + list(combinations(sources, 2))
+    whole = slots.agg(*[
+        F.sum(F.theta_sketch_estimate(F.theta_intersection(F.col(a), F.col(b)))).alias(f"{a}|{b}") for a, b in pairs])
     lines = F.array(*[
-        F.struct(F.lit(a).alias("left_side"), F.lit(b).alias("right_side"),
-                 F.theta_sketch_estimate(F.theta_intersection(F.col(a), F.col(b))).alias("n_keys"))
-        for a, b in pairs])
+        F.struct(F.lit(a).alias("left_side"), F.lit(b).alias("right_side"), F.col(f"`{a}|{b}`").alias("n_keys")) for a, b in pairs])
     return whole.select(F.inline(lines)).withColumn("n_keys", F.coalesce("n_keys", F.lit(0)).cast("long"))
 
 

@@ -289,3 +289,14 @@ def test_theta_overlap_is_exact_when_small_and_near_when_large(spark):
             assert got[pair] == n if bits == 17 else abs(got[pair] - n) <= 0.08 * 90_000
     one = {(r["left_side"], r["right_side"]): r["n_keys"] for r in Y.sketched_overlap(Y.key_sketches(frames, ["k"], "m"), list(frames), "2024-02", "2024-02").collect()}
     assert one["a", "a"] == 30_000 and one["none", "none"] == 0
+
+
+@pytest.mark.parametrize("keys", [["k"], ["k", "m"]])
+def test_theta_overlap_is_exact_beyond_the_size_of_a_sketch(spark, keys):
+    from creditmart.operators import keys as Y
+    left = spark.range(6_000).selectExpr("id as k", "concat('2024-0', id % 2 + 1) as m")
+    again = left.where("k < 900").withColumn("m", F.lit("2024-02"))  # the same k in two months
+    frames = {"a": left.unionByName(again), "b": left.where("k % 3 = 0").withColumn("k", F.col("k") + 1500), "none": left.where("k < 0")}
+    exact = sorted(map(tuple, Y.key_overlap(frames, keys).collect()))
+    sketches = Y.key_sketches(frames, keys, "m", 8)
+    assert sorted(map(tuple, Y.sketched_overlap(sketches, list(frames), bits=8).collect())) == exact
