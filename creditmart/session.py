@@ -15,6 +15,8 @@ SQL_SETTINGS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Narrow rows compress well: 64 MB of them, the default, take gigabytes in one task's hash table or sort.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8m",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Chained joins on one key have no exchange between them; splitting a hot key is
     # worth the extra exchange it then needs.

@@ -300,3 +300,11 @@ def test_theta_overlap_is_exact_beyond_the_size_of_a_sketch(spark, keys):
     exact = sorted(map(tuple, Y.key_overlap(frames, keys).collect()))
     sketches = Y.key_sketches(frames, keys, "m", 8)
     assert sorted(map(tuple, Y.sketched_overlap(sketches, list(frames), bits=8).collect())) == exact
+
+
+def test_compressible_rows_are_not_joined_into_few_tasks(spark):
+    """3,000,000 narrow rows of one shuffle stay in parts whose tables a task can hold."""
+    few = spark.range(3_000_000, numPartitions=8).selectExpr("id % 1500000 as k", "id % 7 as v").groupBy("k").agg(F.sum("v").alias("v"))
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "8m"
+    sizes = few.select(F.spark_partition_id().alias("p")).groupBy("p").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+    assert sizes < 1_000_000
