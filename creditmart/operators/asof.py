@@ -62,13 +62,17 @@ def as_of_join(
     one by ``tie_breaks`` (per history; default: a hash of the row, so that reruns agree).
     """
     dates = as_of_dates(base, histories, key, base_date, feature_date)
+    # The used days of all histories in one frame: no date column can be pruned, so all readers of ``dates`` share its shuffles.
+    used = dates.select(key, F.inline(F.array(*[
+        F.struct(F.lit(place).alias("_from"), F.col(f"_date_{place}").alias(feature_date)) for place in range(len(histories))
+    ]))).where(F.col(feature_date).isNotNull()) if histories else None
     result = base.join(dates, [key, base_date], "left")
     for place, history in enumerate(histories):
         date = f"_date_{place}"
         order = list(tie_breaks[place]) if tie_breaks else [row_hash(history)]
         # At most one row per label key survives, so only days that were found are cut to one row.
-        used = dates.where(F.col(date).isNotNull()).select(key, F.col(date).alias(feature_date)).distinct()
-        known = history.join(used, [key, feature_date], "left_semi")
+        days = used.where(F.col("_from") == place).select(key, feature_date).distinct()
+        known = history.join(days, [key, feature_date], "left_semi")
         rows = keep_first(known, [key, feature_date], order).withColumnRenamed(feature_date, date)
         result = result.join(rows, [key, date], "left").drop(date)
     front = list(base.columns)

@@ -861,7 +861,8 @@ def ingest_available_now(spark, folder):
     schemas = {}
     for name, target in (("loan_daily", "lms_loan_daily"), ("attributes", "feature_attributes"),
                          ("financials", "features_financials"), ("clickstream", "feature_clickstream")):
-        raw = star_input(spark, folder, name).drop(*K.LINEAGE, "row_id")
+        # Many files: those with line breaks inside quotes are read by one task each.
+        raw = star_input(spark, folder, name, spread=True).drop(*K.LINEAGE, "row_id")
         schemas[name] = text_schema(raw.columns)
         raw.write.option("header", True).option("escape", '"').csv(f"{root}/raw/{target}")
     ingest_available(spark, root, f"{root}/raw", schemas, f"{root}/checkpoints", "2024-01-01")

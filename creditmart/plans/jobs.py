@@ -112,7 +112,10 @@ def build_gold_features(mart: Mart) -> list[dict]:
         if not mart.has(f"silver/{name}"):
             continue
         features, wide = build(mart.read(f"silver/{name}"))
-        log += [mart.write(features, f"gold/{name}_features"), mart.write(wide, f"gold/{name}_wide")]
+        stored = mart.write(wide, f"gold/{name}_wide")
+        # The feature table is some columns of the wide one, which is there now: nothing is computed twice.
+        chosen = mart.read(f"gold/{name}_wide").select(*features.columns)
+        log += [mart.write(chosen, f"gold/{name}_features"), stored]
     return log
 
 

@@ -174,9 +174,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def star_input(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """One derived input over the tables of a folder."""
+def star_input(spark: SparkSession, folder: str, name: str, spread: bool = False) -> DataFrame:
+    """One derived input over the tables of a folder.
+
+    ``spread`` deals the rows of a single table to tasks of even size before the input is derived from them,
+    however few row groups its file has; a join deals them anyway.
+    """
     sources = {source: table(spark, folder, source) for source in _SOURCES[name]}
+    if spread and len(sources) == 1:
+        sources = {source: rows.hint("rebalance") for source, rows in sources.items()}
     text = INPUTS[name].replace("{", "{{").replace("}", "}}")
     for source in sources:
         for word in ("from", "join"):

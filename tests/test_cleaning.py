@@ -54,6 +54,20 @@ def test_dates_are_day_first(spark):
     assert apply(spark, any_date, list(cases)) == list(cases.values())
 
 
+def test_dates_of_any_shape_read_as_if_every_format_was_tried(spark):
+    from creditmart import constants as K
+    from creditmart.functions.dates import date_shape
+    assert [date_shape(form) for form in ("d/M/yy", "dd/MM/yyyy", "yyyy-MM-dd")] == ["_%/_%/__", "__/__/____%", "____%-__-__"]
+    texts = ["3/4/2023", "1/7/23", "13/7/2023", "7/13/2023", "31/2/2023", "1/1/02023", "+1/1/23", "1/1/-23", "1/7/3", "1/7/123", " 1/7/23",
+             "1/7/23 ", "2023-07-01", " 2023-07-01 ", "2023-7-1", "2023-07", "2023", "+12345-01-02", "12345-01-02", "0000-01-01",
+             "-0001-01-01", "2023-02-30", "2023-01-01 1/7/23", "2023-01-01T1/7/23", "1-7-23", "//", "/", "", "junk", "1/7/23/4", None]
+
+    def tried(c):
+        text = F.col(c)
+        return F.coalesce(*[F.try_to_date(text, form) for form in K.DATE_FORMATS], text.try_cast("date")).cast("string")
+    assert apply(spark, lambda c: any_date(c).cast("string"), texts) == apply(spark, tried, texts)
+
+
 def test_month_text_takes_month_or_timestamp(spark):
     assert apply(spark, month_text, ["2023-01", "2023-02-01 00:00:00", "2023-03-05", "x"]) == [
         "2023-01", "2023-02", "2023-03", None]

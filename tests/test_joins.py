@@ -34,6 +34,35 @@ def test_as_of_cases(spark):
                    "l5": ("NOBODY", None, None, None), "l6": ("B", 3, "y", None)}
 
 
+def test_as_of_dates_are_shuffled_once_for_all_histories(spark):
+    rows = spark.range(200).selectExpr("concat('c', id % 9) as customer_id", "date_add(date '2023-01-01', cast(id as int)) as at", "id")
+    base = rows.selectExpr("customer_id", "at as label_date", "id as loan_id")
+    histories = [rows.where(f"id % {n} = 0").selectExpr("customer_id", "at as feat_date", f"id as v{n}") for n in (3, 5)]
+    out = as_of_join(base, histories)
+    assert out.count() == 200
+    for n in (3, 5):
+        known = out.where(f"v{n} is not null").select("customer_id", "loan_id", f"v{n}").collect()
+        assert known and all(r[2] % n == 0 and r[2] <= r[1] and (r[1] - r[2]) % 9 == 0 and r[1] - r[2] < 9 * n for r in known)
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString().partition("Initial Plan")[0]
+    assert plan.count("ReusedExchange") >= 2
+
+
+def test_one_table_is_dealt_to_tasks_before_an_input_is_derived(spark, tmp_path):
+    rows = spark.range(4_000).selectExpr(
+        "id as o_orderkey", "id % 97 as o_custkey", "timestamp '1996-01-01' as o_orderdate", "id * 1.25d as o_totalprice")
+    rows.coalesce(1).write.parquet(str(tmp_path / "orders.parquet"))
+    merge = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(merge, "false")  # so few rows would be merged into one task again
+    try:
+        spread = star_input(spark, str(tmp_path), "financials", spread=True).withColumn("_task", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.set(merge, "true")
+    plain = star_input(spark, str(tmp_path), "financials").collect()
+    assert len({r["_task"] for r in spread}) > 1
+    assert sorted(map(str, (r[:-1] for r in spread))) == sorted(map(str, (r[:] for r in plain)))
+
+
 def test_as_of_equals_ranked_form(spark, small):
     """The linear form against a full join that ranks every earlier feature row."""
     base = star_input(spark, small, "loan_daily").select(
