@@ -160,3 +160,35 @@ def test_one_dominant_score_does_not_gather_the_others(spark):
     assert jobs() == before
     assert max(r["count"] for r in ranged.collect()) <= 1000 // 8
     assert grid.count() == 2
+
+
+def test_grid_reads_the_scored_rows_once(spark):
+    """All passes over the scores share the shuffle of their counts, the one that tunes the threshold too."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(4_000, numPartitions=4).selectExpr(
+        "'m' as model", "case when id % 4 = 0 then 'Valid' else 'Train' end as split", "id * 7919 % 4003 / 4003.0d as score",
+        "cast(id % 3 = 0 as int) as label").mapInArrow(counted, "model string, split string, score double, label int")
+    out = M.metric_grid(rows).collect()
+    assert len(out) == 4 and {sum(r[c] for c in ("tn", "fp", "fn", "tp")) for r in out} == {1_000, 3_000}
+    assert seen.value == 4_000
+
+
+def test_large_slots_are_parted(spark):
+    """Totals are the same whether all, some or no slots are taken in parts, for several groups and a null one."""
+    from creditmart.operators.ranges import running_totals
+    draw = np.random.default_rng(5)
+    values = np.unique(np.concatenate([draw.normal(size=300), 0.3 + draw.random(300) * 1e-5, [0.0]]))
+    rows = [(g, float(v), i % 5) for g in ("a", "b", None) for i, v in enumerate(values)]
+    df = spark.createDataFrame(rows, "g string, x double, n long")
+    want = np.cumsum(np.arange(len(values)) % 5)
+    for whole in (0, 20, 1 << 20):
+        got = running_totals(df, ["g"], "x", {"t": "n"}, group_totals={"all": "t"}, whole=whole).collect()
+        assert len(got) == len(rows) and {r["all"] for r in got} == {int(want[-1])}
+        for g in ("a", "b", None):
+            assert [r["t"] for r in sorted((r for r in got if r["g"] == g), key=lambda r: r["x"])] == want.tolist()
