@@ -155,19 +155,19 @@ def exact_percentiles(df: DataFrame, columns: Sequence[str], shares: Sequence[fl
     The rows are read once, to count them per distinct value: all rounds read that shuffle.
     """
     values = melt(df, columns).where("value is not null").groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    # Never null, so that the joins below put no test of the bits, with all their arithmetic, onto the rows.
-    values = with_image(values, "value").withColumn(IMAGE, F.coalesce(IMAGE, F.lit(0)))
-    shift, slot, found = 64, [], None  # the slots' bits so far; (column, slot, ranks in it)
+    shift, slot, found = 64, [], None  # the slots' bits so far; (column, slot, its ends, ranks in it)
     for number, width in enumerate(ROUNDS):
         shift -= width
-        bits = F.shiftright(IMAGE, shift) if not number else F.shiftright(IMAGE, shift).bitwiseAND((1 << width) - 1)
-        rows = values = values.withColumn(f"_bits{number}", bits)
-        keys = ["column", *slot]
+        rows, keys = values, ["column", *slot]
         if found is not None:
-            # At most two ranks per column and share, so this side cannot outgrow a broadcast. The ranks go on as a
-            # key, one list per slot, so that the round before stands once in the plan.
-            rows, keys = rows.join(F.broadcast(found), keys), [*keys, "_ranks"]
-        counts = rows.groupBy(*keys, f"_bits{number}").agg(F.sum("n").alias("n"), F.min("value").alias("value"))
+            # At most two ranks per column and share, so this side cannot outgrow a broadcast. A slot's values are all those
+            # between its ends, so bits are only found for values in wanted slots. The ranks go on as a key, one list
+            # per slot, so that the round before stands once in the plan.
+            rows = rows.join(F.broadcast(found), "column").where(F.col("value").between(F.col("_low"), F.col("_high")))
+            keys = [*keys, "_ranks"]
+        bits = F.shiftright(IMAGE, shift) if not number else F.shiftright(IMAGE, shift).bitwiseAND((1 << width) - 1)
+        rows = with_image(rows, "value").withColumn(f"_bits{number}", bits)
+        counts = rows.groupBy(*keys, f"_bits{number}").agg(F.sum("n").alias("n"), F.min("value").alias("value"), F.max("value").alias("_high"))
         inside = Window.partitionBy("column", *slot).orderBy(f"_bits{number}")
         before = F.coalesce(F.sum("n").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
         counts = counts.withColumn("_before", before)
@@ -178,11 +178,9 @@ def exact_percentiles(df: DataFrame, columns: Sequence[str], shares: Sequence[fl
                 F.struct(s.alias("share"), rank.alias("rank"), place.alias("place"), place.alias("left")) for s, rank, place in ranks]))
         slot.append(f"_bits{number}")
         here = F.filter("_ranks", lambda r: (r["left"] >= F.col("_before")) & (r["left"] < F.col("_before") + F.col("n")))
-        found = counts.select("column", *slot, "value", F.transform(here, lambda r: r.withField(
+        found = counts.select("column", *slot, F.col("value").alias("_low"), "_high", F.transform(here, lambda r: r.withField(
             "left", r["left"] - F.col("_before"))).alias("_ranks")).where(F.size("_ranks") > 0)
-        if number < len(ROUNDS) - 1:
-            found = found.drop("value")
-    found = found.select("column", "value", F.inline("_ranks"))
+    found = found.select("column", F.col("_low").alias("value"), F.inline("_ranks"))
     low, high = F.min_by("value", "place"), F.max_by("value", "place")
     part = F.max(F.col("rank") - F.floor("rank"))
     return found.groupBy("column", "share").agg((low + (high - low) * part).alias("value"))

@@ -113,6 +113,17 @@ def test_percentile_rounds_do_not_repeat_the_image(spark):
     assert plan.count("POWER") <= 5 * len(R.ROUNDS)
 
 
+def test_percentile_rounds_find_bits_of_wanted_slots_only(spark):
+    """After the first round a comparison with a slot's ends tells its values; the bits of the others are not found."""
+    values = [-7.25, -0.0, 0.0, 1.0, 1.0000001, 2.0, float("inf"), float("nan"), float("nan"), float("nan"), None, -1e300]
+    df = spark.createDataFrame([(v,) for v in values], "a double")
+    found = R.exact_percentiles(df, ["a"], [0.0, 0.3, 0.4, 1.0])
+    joins = [x for x in found._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Join Inner" in x]
+    assert len(joins) == len(R.ROUNDS) - 1 and all("_low" in x and "_high" in x and "_bits" not in x for x in joins)
+    got = {r["share"]: r["value"] for r in found.collect()}
+    assert got[0.0] == -1e300 and got[0.3] == 0.0 and got[0.4] == 1.0 and got[1.0] != got[1.0]
+
+
 def test_medians_read_the_rows_once(spark):
     from creditmart.operators.preprocess import medians
     seen = spark.sparkContext.accumulator(0)
