@@ -32,7 +32,7 @@ from creditmart.plans.jobs import with_clickstream
 from creditmart.plans.star import star_input, table
 from creditmart.session import apply_settings, checkpoint_dir
 from creditmart.sources.readers import months_in
-from creditmart.sources.writers import remove_folder
+from creditmart.sources.writers import remove_folder, shuffles_dropped
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -866,7 +866,8 @@ def ingest_available_now(spark, folder):
         # Many files: those with line breaks inside quotes are read by one task each.
         raw = star_input(spark, folder, name, spread=True).drop(*K.LINEAGE, "row_id")
         schemas[name] = text_schema(raw.columns)
-        raw.write.option("header", True).option("escape", '"').csv(f"{root}/raw/{target}")
+        with shuffles_dropped(spark):
+            raw.write.option("header", True).option("escape", '"').option("compression", "gzip").csv(f"{root}/raw/{target}")
     ingest_available(spark, root, f"{root}/raw", schemas, f"{root}/checkpoints", "2024-01-01")
     mart = Mart(spark, root)
     counts = Q.layer_counts({t: mart.all_months(t) for t in (

@@ -427,3 +427,23 @@ def test_a_write_of_one_month_lists_that_month_only(spark, tmp_path):
         assert writers.write_months(df.where("v = 4"), path, months=["a=b/c"])["rows"] == 1
         assert writers.write_months(df.where("v = 9"), path, months=["2023-02", "2030-01"])["rows"] == 0
     assert sorted(r["v"] for r in spark.read.parquet(path).collect()) == [1, 4]
+
+
+def test_a_written_table_leaves_no_shuffle_files(spark, tmp_path):
+    """A run of many writes holds the tables and one write's shuffle, not those of all writes before."""
+    from creditmart.sources import writers as W
+
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+    before, setting = shuffled(), spark.conf.get(W.CLEAN_UP)
+    rows = spark.range(1000).selectExpr("id % 200 as k", "cast(id % 3 as string) as snap_ym").groupBy("k", "snap_ym").count()
+    with W.shuffles_dropped(spark):
+        rows.write.parquet(f"{tmp_path}/plain")
+    assert shuffled() <= before
+    assert W.write_months(rows, f"{tmp_path}/t")["rows"] == 600 == rows.count()
+    assert spark.conf.get(W.CLEAN_UP) == setting
+    with pytest.raises(ZeroDivisionError):
+        with W.shuffles_dropped(spark):
+            1 / 0
+    assert spark.conf.get(W.CLEAN_UP) == setting
